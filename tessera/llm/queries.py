@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality_cnn, repetition
+from tessera.llm import parity_join, quality_cnn, repetition
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.rules(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.components(table(spark, sf_dir, "documents"), parity_join.Measure(k=4, percent=85))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
