@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import parity_join, quality_cnn, repetition
+from tessera.llm import dac, parity_join, quality_cnn, repetition
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.components(table(spark, sf_dir, "documents"), parity_join.Measure(k=4, percent=85))
 
 
+def op8_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = dac.scratch_path(spark)
+    dac.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return dac.digest(spark, path)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
