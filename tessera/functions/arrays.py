@@ -68,41 +68,6 @@ def zip_shortest(*lists: Column) -> Column:
     return F.arrays_zip(*[F.slice(x, 1, F.least(*map(F.size, lists))) for x in lists])
 
 
-def slot_items(slot: Column, solutes: Column, values: Column, units: Column) -> Column:
-    """The aligned items of a slot: array of struct(item_index, solute, value, unit, error, warning, confidence).
-
-    The salt-test slot always has the one solute NaCl, so it always has an item."""
-    from tessera.functions.units import inline_unit
-
-    salt = slot == "test_nacl"
-    s = F.when(salt, F.array(F.lit("NaCl"))).otherwise(split_multi(solutes))
-    v, u = split_multi(values), split_multi(units)
-    n = F.greatest(F.size(s), F.size(v), F.size(u), F.lit(1))
-    notes = F.filter(
-        F.array(F.when(salt, align_note(s, n, "solute")).otherwise(align_note(s, n, "solute", False)), align_note(v, n, "value"), align_note(u, n, "unit")), lambda x: x != ""
-    )
-    se = F.when(salt, F.array_repeat(F.lit("NaCl"), n)).otherwise(align(s, n, F.lit(""), False))
-    rows = F.arrays_zip(se.alias("s"), align(v, n, F.lit("")).alias("v"), align(u, n, F.lit("")).alias("u"))
-
-    def item(x: Column, i: Column) -> Column:
-        pair = inline_unit(x["v"], x["u"])
-        solute, value, unit = norm_text(x["s"]), pair["value"], pair["unit"]
-        error = (
-            F.when((solute == "") & (value == "") & (unit == ""), "empty_aligned_subitem")
-            .when((solute != "") & (value == "") & (unit == ""), "missing_value_and_unit")
-            .when((solute != "") & (value == ""), "missing_value")
-            .when((solute == "") & ((value != "") | (unit != "")), "missing_solute")
-            .otherwise("")
-        )
-        confidence = F.when(error != "", "low").when(F.size(notes) > 0, "medium").otherwise("high")
-        return F.struct(
-            (i + 1).alias("item_index"), solute.alias("solute"), value.alias("value"), unit.alias("unit"), error.alias("error"),
-            F.array_join(F.array_distinct(notes), ";").alias("warning"), confidence.alias("confidence"),
-        )
-
-    return F.when((F.size(s) == 0) & (F.size(v) == 0) & (F.size(u) == 0), F.array()).otherwise(F.transform(rows, item))
-
-
 #: Fixed value: what connects the parts of a mixture; a comma inside a locant such as 1,3- or N,N- does not.
 CONNECTOR = r"(?i)\s*(?:/|\+|;|(?<![0-9NO]),|,(?![0-9NO])| and )\s*"
 CONNECTOR_ANY = r"(?i)\s*(?:/|\+|,|;| and )\s*"

@@ -277,7 +277,7 @@ def sentence_windows(text: Column, token: Column, most: int = 6, width: int = 14
     """Each sentence that holds the token with its neighbours, distinct in any letter case."""
     parts = F.split(or_empty(text), r"(?<=[.!?。；;\n])")
     pattern = token_regex(token)
-    hits = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: F.element_at(parts, i.cast("int")).rlike(pattern))
+    hits = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: F.rlike(F.element_at(parts, i.cast("int")), pattern))
     merged = F.transform(
         hits,
         lambda i: norm_text_doc(

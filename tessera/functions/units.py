@@ -66,21 +66,29 @@ def inline_unit(value: Column, unit: Column) -> Column:
 
 def phase(slot: Column, standard: Column, original: Column, solvent: Column) -> Column:
     """aqueous, organic or unknown: fixed by the slot, else by known solutes, else by water as the solvent."""
-    s, o = norm_key(standard), norm_key(original)
+    return phase_of_keys(slot, norm_key(standard), norm_key(original), norm_key(solvent))
+
+
+def phase_of_keys(slot: Column, s: Column, o: Column, solvent: Column) -> Column:
+    """phase of keys that are normalised already."""
     known = lambda names: s.isin(names) | o.isin(names)
     default = lookup(slot, dict(fixed.SLOTS))
     return (
         F.when(default.isin("aqueous", "organic"), default)
         .when(known(fixed.AQUEOUS_SOLUTES), "aqueous")
         .when(known(fixed.ORGANIC_SOLUTES), "organic")
-        .when(norm_key(solvent) == "water", "aqueous")
+        .when(solvent == "water", "aqueous")
         .otherwise("unknown")
     )
 
 
 def physical_form(standard: Column, original: Column) -> Column:
     """liquid, solid or unknown, by known solutes, then by words."""
-    s, o = norm_key(standard), norm_key(original)
+    return form_of_keys(norm_key(standard), norm_key(original))
+
+
+def form_of_keys(s: Column, o: Column) -> Column:
+    """physical_form of keys that are normalised already."""
     both = F.concat(s, F.lit(" | "), o)
     liquids = fixed.LIQUIDS + list(fixed.SOLUTE_DENSITY)
     return (
@@ -119,11 +127,14 @@ def percent_type(family: Column, slot: Column, phase_: Column, form: Column, sol
 
 def density(explicit: Column, slot: Column, phase_: Column, solvent: Column, standard: Column, original: Column) -> Column:
     """struct(solution, solute, source, assumed): an explicit density, else water's, else the organic solvent's, else none."""
-    s, o = norm_key(standard), norm_key(original)
-    named = F.coalesce(F.nullif(solvent_name(s), F.lit("")), F.nullif(solvent_name(o), F.lit("")))
+    return density_of_keys(explicit, slot, phase_, solvent_name(solvent), norm_key(standard), norm_key(original), solvent_name(standard), solvent_name(original))
+
+
+def density_of_keys(explicit: Column, slot: Column, phase_: Column, liquid: Column, s: Column, o: Column, s_solvent: Column, o_solvent: Column) -> Column:
+    """density of keys that are normalised already, with the solvents they name."""
+    named = F.coalesce(F.nullif(s_solvent, F.lit("")), F.nullif(o_solvent, F.lit("")))
     solute = F.coalesce(lookup(s, fixed.SOLUTE_DENSITY), lookup(o, fixed.SOLUTE_DENSITY), lookup(named, fixed.SOLVENT_DENSITY))
     usable = explicit.isNotNull() & (explicit > 0) & (explicit <= 5)
-    liquid = solvent_name(solvent)
     of_solvent = F.when(phase_ == "organic", lookup(F.nullif(liquid, F.lit("")), fixed.SOLVENT_DENSITY))
     out = lambda rho, source, assumed: F.struct(rho.cast("double").alias("solution"), solute.cast("double").alias("solute"), source.alias("source"), assumed.alias("assumed"))
     return (

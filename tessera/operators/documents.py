@@ -84,8 +84,8 @@ def audit(met: DataFrame, keys: list[str], content: str, name: str, standard: st
     """`keys` with verdict and evidence: the exact name, else the standard name, else a variant in the document.
 
     A row without sources, or without a document, is told apart by null `record` and null content."""
-    hit = lambda c: F.coalesce(F.col(content).rlike(text.token_regex(c)), F.lit(False))
-    variant = F.get(F.filter(variants, lambda v: F.coalesce(F.col(content).rlike(text.token_regex(v)), F.lit(False))), 0)
+    hit = lambda c: F.coalesce(F.rlike(F.col(content), text.token_regex(c)), F.lit(False))
+    variant = F.get(F.filter(variants, lambda v: F.coalesce(F.rlike(F.col(content), text.token_regex(v)), F.lit(False))), 0)
     verdict = (
         F.when(F.col("record").isNull(), "NO_SOURCE_RECORD_INDEX")
         .when(F.col(content).isNull(), "BIBLIO_MISMATCH_OR_MD_MISSING")

@@ -118,7 +118,7 @@ def j_identity_build(spark, sf_dir):
     return identity(spark)
 
 
-@query("j_identity", f"""WITH {ENTITIES} SELECT entity, CASE name WHEN 'TMC' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'MPD' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'NaCl' THEN 'UNRESOLVED'
+@query("j_identity", f"""WITH {ENTITIES} SELECT entity, CASE name WHEN 'TMC' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'tmc' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'MPD' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'NaCl' THEN 'UNRESOLVED'
   WHEN 'sodium dodecyl sulfate' THEN 'IDENTITY_TABLE_EXACT' WHEN 'n-hexane' THEN 'IDENTITY_TABLE_EXACT' WHEN 'camphorsulfonic acid' THEN 'IDENTITY_TABLE_EXACT' WHEN 'DMF' THEN 'UNRESOLVED_ABBREVIATION' ELSE 'UNRESOLVED' END AS identity_source
   FROM entities WHERE name NOT IN ('NaCl', '-', 'n/a')""")
 def j_identity(spark, sf_dir):

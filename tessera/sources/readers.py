@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -33,7 +34,9 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
 
 
 def read_csv_any(spark: SparkSession, path: str) -> DataFrame:
-    """As read_csv, in the first encoding that decodes the first file; bytes are looked at on an executor."""
+    """As read_csv, in the first encoding that decodes the first file. Spark reads UTF-8 and Latin-1 itself; files in other
+    encodings are decoded whole by tasks and their lines parsed."""
+
     def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -47,8 +50,20 @@ def read_csv_any(spark: SparkSession, path: str) -> DataFrame:
                         continue
             yield pd.DataFrame({"encoding": out})
 
-    found = spark.read.format("binaryFile").load(path).select("content").limit(1).mapInPandas(fits, "encoding string").first()
-    return read_csv(spark, path, {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "latin-1": "ISO-8859-1"}.get(found[0], found[0]))
+    files = spark.read.format("binaryFile").load(path).select("content")
+    encoding = files.limit(1).mapInPandas(fits, "encoding string").first()[0]
+    if encoding in ("utf-8-sig", "utf-8", "latin-1"):
+        return read_csv(spark, path, "ISO-8859-1" if encoding == "latin-1" else "UTF-8")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for data in batch["content"]:
+                lines = list(csv.reader(io.StringIO(bytes(data).decode(encoding, "replace"))))
+                yield pd.DataFrame({"header": [lines[0]] * (len(lines) - 1), "cells": lines[1:]})
+
+    parsed = files.mapInPandas(rows, "header array<string>, cells array<string>")
+    first = parsed.select("header").first()
+    return parsed.select(*[F.get("cells", i).alias(name) for i, name in enumerate(first[0] if first else [])])
 
 
 def read_table(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
