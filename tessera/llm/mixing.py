@@ -30,7 +30,7 @@ from tessera.llm.shingles import PIECE, U64, mix, word_hashes
 #: Labelled rows the classifier is fitted on, at most; hashed features, and those kept by the fit.
 SAMPLE = 3000
 BUCKETS, FEATURES = 1 << 18, 3000
-ROUNDS, CLOSE = 40, 1e-4
+ROUNDS, CLOSE = 150, 1e-4
 
 
 def bucket_counts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
