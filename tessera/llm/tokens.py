@@ -1,7 +1,9 @@
 """Whole texts as token ids, through a cache of what a public tokenizer makes of each run of characters.
 
 The tokenizers of the `tokenizers` library used here never join characters across ASCII white space, so a text's ids are
-those of its runs of other characters, one after another; a run is encoded by the library once and then looked up."""
+those of its runs of other characters, one after another; a run is encoded by the library once and then looked up. They
+also fold letter case and never join letters to punctuation, so runs are looked up in lower case and a plain word is
+looked up apart from the punctuation behind it. A file that turns out to do neither is used with its runs as they are."""
 
 from __future__ import annotations
 
@@ -11,7 +13,8 @@ from functools import lru_cache
 import numpy as np
 
 #: Runs held in a worker's cache; beyond that it starts anew. Bounds memory, never results.
-CACHE_RUNS = 700_000
+CACHE_RUNS = 1_200_000
+PUNCTUATION = b".,;:!?"
 
 
 class RunEncoder:
@@ -23,16 +26,35 @@ class RunEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.runs: dict[bytes, bytes] = {}
+        probe = ["Ab,", "ab", ",", "Zx?!", "zx", "?!"]
+        whole, word, mark, whole2, word2, mark2 = (e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False))
+        self.plain = whole == word + mark and whole2 == word2 + mark2
+
+    def _encode(self, missing: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([m.decode("utf-8", "replace") for m in missing], add_special_tokens=False)
+        self.runs.update((m, np.array(f.ids, "<u4").tobytes()) for m, f in zip(missing, found, strict=True))
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each whole text as little-endian unsigned 32-bit integers."""
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        data = [t.encode("utf-8", "surrogatepass") for t in texts]
+        # a text with the beginning of a special token keeps its case: special tokens are matched before it is folded
+        split = [(t.lower() if self.plain and b"<|" not in t else t).split() for t in data]
         if len(self.runs) > CACHE_RUNS:
             self.runs.clear()
-        if missing := list(set().union(*split).difference(self.runs)):
-            found = self.tokenizer.encode_batch_fast([m.decode("utf-8", "replace") for m in missing], add_special_tokens=False)
-            self.runs.update((m, np.array(f.ids, "<u4").tobytes()) for m, f in zip(missing, found, strict=True))
-        return [b"".join(map(self.runs.__getitem__, words)) for words in split]
+        runs = self.runs
+        if missing := set().union(*split).difference(runs):
+            if self.plain:
+                apart = {}
+                for run in missing:
+                    word = run.rstrip(PUNCTUATION)
+                    if len(word) < len(run) and word.isalpha():
+                        apart[run] = (word, run[len(word) :])
+                self._encode(list((missing.difference(apart)).union(*apart.values()).difference(runs)))
+                for run, (word, marks) in apart.items():
+                    runs[run] = runs[word] + runs[marks]
+            else:
+                self._encode(list(missing))
+        return [b"".join(map(runs.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=4)
