@@ -2,9 +2,9 @@
 
 A classifier learned from a labelled table gives every document posteriors over domains. Document rates (expected copies)
 are then fitted so that the expected tokens of each domain, sum of rate * tokens * posterior, match targets: projected
-gradient descent on the least squares of domain totals, rates kept nonnegative. The totals' residuals are weighted by the
-inverse of the posteriors' token-weighted Gram matrix, which makes a step of length one safe and convergence fast. A
-round is one pass that updates every rate on the executors and one sum of as many numbers as there are domains.
+gradient descent on the least squares of domain totals, rates kept nonnegative. The totals' residuals are weighted by the inverse
+of the token-weighted Gram matrix of the posteriors whose rates are positive, so a handful of rounds suffice. A round is
+one pass that updates every rate on the executors and sums a few numbers for each pair of domains.
 
 Defined cases: null and empty texts have no tokens and weigh nothing, their rate follows their posteriors; repeated rows
 each have their own rate; labels without a document, null labels and held-out rows are not learned from; a domain that no
@@ -30,7 +30,7 @@ from tessera.llm.shingles import PIECE, U64, mix, word_hashes
 #: Labelled rows the classifier is fitted on, at most; hashed features, and those kept by the fit.
 SAMPLE = 3000
 BUCKETS, FEATURES = 1 << 18, 3000
-ROUNDS, CLOSE = 150, 1e-4
+ROUNDS, CLOSE = 40, 1e-4
 
 
 def bucket_counts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,18 +167,22 @@ def fit_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str,
     ps = [F.col(f"p_{d}") for d in domains]
     tokens = F.col("n_tokens").cast("double")
     k = len(domains)
-    row = weighted.agg(*[F.sum(tokens * ps[i] * ps[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)], F.sum(tokens).alias("all")).first()
-    total = row["all"] or 0.0
-    gram = np.array([[row[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+    total = weighted.agg(F.sum(tokens)).first()[0] or 0.0
     shares = np.array([targets.get(d, 0.0) for d in domains])
     wanted = shares / max(shares.sum(), 1e-12) * total * budget
-    weight = np.linalg.inv(gram + np.eye(k) * max(1e-9 * np.trace(gram), 1e-12))
     steps: list[list[float]] = []
     while total and len(steps) < rounds:
-        got = weighted.select(tokens.alias("n"), rate_column(ps, steps).alias("rate"), *ps).agg(*[F.sum(F.col("n") * F.col("rate") * p) for p in ps]).first()
-        residual = np.array([x or 0.0 for x in got]) - wanted
+        rated = weighted.select(tokens.alias("n"), rate_column(ps, steps).alias("rate"), *ps)
+        free = F.col("n") * (F.col("rate") > 0).cast("double")
+        got = rated.agg(
+            *[F.sum(F.col("n") * F.col("rate") * p).alias(f"s{i}") for i, p in enumerate(ps)],
+            *[F.sum(free * ps[i] * ps[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
+        ).first()
+        residual = np.array([got[f"s{i}"] or 0.0 for i in range(k)]) - wanted
         if np.abs(residual).max() <= CLOSE * total:
             break
+        gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+        weight = np.linalg.inv(gram + np.eye(k) * max(1e-9 * np.trace(gram), 1e-12))
         steps.append([float(x) for x in weight @ residual])
     return steps
 
