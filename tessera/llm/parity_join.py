@@ -7,10 +7,14 @@ documents differ in at most one bit in at least one of them; each part has three
 the three are then equal. Equal pairs of words are found by an equi-join on their hashes (both levels are pigeonhole
 arguments, so no link is lost), and candidates are compared by whole sketches and then by their sets.
 
-Nothing emits all pairs of a group: documents with equal sets are one node; the members of a join key are first compared
-with the key's smallest member only; and only keys whose members are still in different components afterwards compare
-with more members, twice as many each round, until every pair of different components in every key has been compared.
-The pairs that were compared are kept out of later rounds by that order, not by a cap.
+Nothing emits all pairs of a group: documents with equal sets are one node; the members of a join key are compared with
+the key's smallest member only, by their sketches. Those within one and a half times the largest difference D of a linked
+pair are settled, those beyond meet again under their first four members, then sixteen, and so on. Two linked members of a key that are told apart
+in this way are both within two and a half D of the hub that settles the first of them (the triangle inequality of Hamming
+distance), so the pairs within that distance connect families which no link leaves. Families are compared inside, in
+chunks of bounded size: each chunk on its own together with the family's first members, then what is still outside the
+family's largest component with every chunk. A chunk skips pairs that its own links already connect and returns only
+links that join components.
 
 Defined cases: documents without words have empty sets and are linked with nothing; rows with a null doc_id are not
 linked (component null); repeated rows and equal texts are one node; an empty table gives an empty result; other columns
@@ -29,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import discard, id_text_batches, materialise
+from tessera.llm.common import discard, free_shuffles, id_text_batches, materialise
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import U64, mix, shingle_sets
 
 WORDS_A_PART = 3
-#: Bits of the sketch that filters candidates: at least so many, and at least half the set's size.
+#: Bits of the sketch that compares candidates: at least so many, and at least four a shingle.
 FILTER_BITS = 2048
+#: Members of a family that are compared in one task, and first members (a few by hash) that every chunk of a family gets.
+CHUNK, FIRST = 768, 4
 
 
 @dataclass(frozen=True)
@@ -63,6 +69,11 @@ class Measure:
             bounds[-1] = max(bounds[-1], bounds[-2] + 1)
         return np.array(bounds, np.int64)
 
+    def spread(self, hub_sizes):
+        """D: the largest symmetric difference of two linked sets that share a key with a hub of such a size. Their sizes
+        are at most two bands' width above the hub's."""
+        return self.most_apart(2 * (hub_sizes * 10_000 // (self.percent * self.percent) + 2)) + 1
+
     def parts(self, band: int) -> int:
         """Parts of which one at least differs in one bit at most; 0 if only equal sets link in this band."""
         apart = int(self.most_apart(2 * (int(self.bands[band + 1]) - 1)))
@@ -95,8 +106,8 @@ def join_keys(hashes: np.ndarray, measure: Measure) -> np.ndarray:
 
 
 def filter_sketch(hashes: np.ndarray) -> bytes:
-    bits = max(FILTER_BITS, 1 << max(0, (len(hashes) // 2 - 1)).bit_length())
-    return parity_words(mix(hashes ^ U64(0x5BD1E995))[np.argsort(mix(hashes ^ U64(0x5BD1E995)))], bits // 64).tobytes()
+    bits = max(FILTER_BITS, 1 << (4 * len(hashes)).bit_length())
+    return parity_words(hashes, bits // 64).tobytes()
 
 
 def hamming(a: bytes, b: bytes) -> int:
@@ -161,92 +172,133 @@ def _pairs(a: str, x: list[np.ndarray], b: str, y: list[np.ndarray]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)), pa.array(np.concatenate(y))], names=[a, b])
 
 
-def _shared_keys(sorted_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (key, node): a row (key, node, hub, place) for every further member of a key with two nodes or
-    more. hub is the key's smallest node, place the member's position from 0. A key may run through many batches; only
-    its last member is held."""
-    held = None  # (key, node, hub, place) of the last row
-    for batch in sorted_batches:
-        keys, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        if not len(keys):
-            continue
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-        if held is not None and held[:2] == (keys[0], nodes[0]):
-            new[0] = False
-        keys, nodes = keys[new], nodes[new]
-        if not len(keys):
-            continue
-        first = np.ones(len(keys), bool)
-        first[1:] = keys[1:] != keys[:-1]
-        goes_on = held is not None and held[0] == keys[0]
-        starts = np.flatnonzero(first)
-        start = starts[np.cumsum(first) - 1]
-        hub, place = nodes[start], np.arange(len(keys)) - start
-        if goes_on:
-            same = start == 0
-            hub = np.where(same, held[2], hub)
-            place = place + same * (held[3] + 1)
-        held = (keys[-1], nodes[-1], hub[-1], int(place[-1]))
-        out = place > 0
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (keys, nodes, hub, place)], names=["key", "node", "hub", "place"])
-
-
-def _near_sketches(measure: Measure):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
-            most = measure.most_apart(n_a + n_b)
-            a, b = batch.column("sketch_a"), batch.column("sketch_b")
-            near = [hamming(a[i].as_py(), b[i].as_py()) <= most[i] for i in range(len(batch))]
-            yield batch.select(["rep_a", "rep_b"]).filter(pa.array(near, pa.bool_()))
+def _shared_keys(hubs: int):
+    """From rows sorted by (key, node): rows (key, node, hub, place) of every member of a key with each of the key's first
+    `hubs` members before it; place is the member's position from 0. A key may run through many batches; only its first
+    members and its last one are held."""
+
+    def run(sorted_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last, first, count = None, None, np.zeros(0, np.int64), 0  # of the key that the last batch ended in
+        for batch in sorted_batches:
+            keys, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+            if len(keys) and key == keys[0] and last == nodes[0]:
+                new[0] = False
+            keys, nodes = keys[new], nodes[new]
+            if not len(keys):
+                continue
+            begins = np.ones(len(keys), bool)
+            begins[1:] = keys[1:] != keys[:-1]
+            starts = np.flatnonzero(begins)
+            start = starts[np.cumsum(begins) - 1]
+            if key == keys[0]:
+                start = np.where(start == 0, -count, start)
+            place = np.arange(len(keys)) - start
+            for j in range(hubs):
+                at = np.flatnonzero(place > j)
+                if not len(at):
+                    break
+                where = start[at] + j
+                hub = np.where(where < 0, first[min(j, len(first) - 1)] if len(first) else 0, nodes[np.maximum(where, 0)])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(nodes[at]), pa.array(hub), pa.array(place[at])], names=["key", "node", "hub", "place"])
+            own = nodes[max(start[-1], 0) :][:hubs]
+            first = np.concatenate((first, own))[:hubs] if start[-1] < 0 else own
+            key, last, count = keys[-1], nodes[-1], int(place[-1]) + 1
 
     return run
 
 
-def _true_links(measure: Measure):
+def _distances(measure: Measure):
+    """(node, hub, near, in_family) of pairs with sizes and sketches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [shingle_sets(batch.column(c).to_pylist(), measure.k, measure.seed) for c in ("text_a", "text_b")]
-            links = [measure.linked(a, b) for a, b in zip(*sides, strict=True)]
-            yield batch.select(["rep_a", "rep_b"]).filter(pa.array(links, pa.bool_()))
+            a, b = batch.column("sketch_a"), batch.column("sketch_b")
+            apart = np.fromiter((hamming(a[i].as_py(), b[i].as_py()) for i in range(len(batch))), np.int64, len(batch))
+            most = measure.spread(batch.column("n_b").to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep_a"), batch.column("rep_b"), pa.array(2 * apart <= 3 * most), pa.array(2 * apart <= 5 * most)], names=["node", "hub", "near", "in_family"]
+            )
 
     return run
 
 
-@dataclass
-class _Join:
-    docs: DataFrame
-    measure: Measure
-    nodes: DataFrame  # node, rep, n, sketch
+class _Union(dict):
+    """Union-find over document ids; the smallest is the root."""
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs of nodes (a, b) that link, as documents (u, v)."""
-        side = lambda c: self.nodes.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(
-            (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.measure.percent)
-        )
-        near = materialise(sized.select("rep_a", "rep_b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_near_sketches(self.measure), "rep_a long, rep_b long"), "near")
-        wanted = near.select(F.col("rep_a").alias("rep")).unionAll(near.select(F.col("rep_b").alias("rep"))).distinct()
-        texts = self.docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
-        for c in "ab":
-            near = near.join(texts.select(F.col("rep").alias(f"rep_{c}"), F.col("text").alias(f"text_{c}")), f"rep_{c}")
-        found = near.select("rep_a", "rep_b", "text_a", "text_b").mapInArrow(_true_links(self.measure), "rep_a long, rep_b long")
-        return found.select(F.col("rep_a").alias("u"), F.col("rep_b").alias("v"))
+    def __missing__(self, x: int) -> int:
+        return x
 
-    def components(self, edges: DataFrame) -> DataFrame:
-        """(node, component) of the nodes that have links."""
-        found = connected_components(edges)
-        return materialise(self.nodes.select("node", "rep").join(found.withColumnRenamed("node", "rep"), "rep").select("node", "component"), "component")
+    def root(self, x: int) -> int:
+        while self[x] != x:
+            self[x] = self[self[x]]
+            x = self[x]
+        return x
 
+    def join(self, a: int, b: int) -> None:
+        a, b = sorted((self.root(a), self.root(b)))
+        self[b] = a
 
-def _apart(members: DataFrame, component: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows whose nodes in columns a and b are in different components; a node without links is its own component."""
-    for c in (a, b):
-        members = members.join(component.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}")), c, "left")
-    same = (F.col(f"in_{a}") == F.col(f"in_{b}")) & F.col(f"in_{a}").isNotNull() & F.col(f"in_{b}").isNotNull()
-    return members.filter(~F.coalesce(same, F.lit(False))).drop(f"in_{a}", f"in_{b}")
+
+def _links_inside(ids: list[int], texts: list[str], components: list[int], rows: list[bool], measure: Measure) -> list[tuple[int, int]]:
+    """Links between documents of different components that join these: of each document for which `rows` is true with every other."""
+    sets = list(shingle_sets(texts, measure.k, measure.seed))
+    sizes = np.array([len(x) for x in sets], np.int64)
+    words = max(FILTER_BITS, 1 << int(4 * sizes.max(initial=1)).bit_length()) // 64
+    sketches = np.stack([parity_words(x, words) for x in sets]) if sets else np.zeros((0, words), U64)
+    union = _Union(zip(ids, components, strict=True))
+    for c in components:
+        union[c] = c
+    out = []
+    for i in range(len(ids)):
+        others = np.arange(i) if rows[i] else np.flatnonzero(np.array(rows[:i], bool))  # later rows look back at this one
+        if not len(others):
+            continue
+        apart = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        for j in others[apart <= measure.most_apart(sizes[others] + sizes[i])].tolist():
+            if union.root(ids[i]) != union.root(ids[j]) and measure.linked(sets[i], sets[j]):
+                union.join(ids[i], ids[j])
+                out.append((ids[i], ids[j]))
+    return out
+
+
+def _compare(members: DataFrame, keys: list[str], measure: Measure) -> DataFrame:
+    """(u, v): links inside each group of `members` (keys, doc_id, text, component, row), groups being of bounded size."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("doc_id", "text", "component", "row")), strict=True))
+        links = _links_inside(*(list(x) for x in zip(*rows, strict=True)), measure)
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+    return members.select(*keys, "doc_id", "text", "component", "row").groupBy(*keys).applyInArrow(run, "u long, v long")
+
+
+def _families(shared: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
+    """(node, component): the family of every representative that may have links."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    names = nodes.select("node", "rep")
+    by = lambda c, rep: names.select(F.col("node").alias(c), F.col("rep").alias(rep))
+    edges: DataFrame | None = None
+    hubs = 1
+    while True:
+        pairs = shared.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        sized = pairs.join(side("a"), "a").join(side("b"), "b").select("rep_a", "rep_b", "n_b", "sketch_a", "sketch_b")
+        compared = materialise(sized.mapInArrow(_distances(measure), "node long, hub long, near boolean, in_family boolean"), "compared")
+        close = compared.filter("in_family").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+        edges = close if edges is None else edges.unionAll(close)
+        # Members beyond the reach of every hub of their key meet again, under four times as many hubs.
+        named = compared.select(F.col("node").alias("node_rep"), F.col("hub").alias("hub_rep"), "near").join(by("node", "node_rep"), "node_rep").join(by("hub", "hub_rep"), "hub_rep").select("node", "hub", "near")
+        if hubs == 1:
+            left = shared.join(named.filter("not near"), ["node", "hub"]).select("key", "node")
+        else:
+            settled = shared.join(named.filter("near"), ["node", "hub"]).select("key", "node").distinct()
+            left = shared.filter(F.col("place") >= hubs).select("key", "node").distinct().join(settled, ["key", "node"], "left_anti")
+        hubs *= 4
+        again = left.repartition("key").sortWithinPartitions("key", "node")
+        shared = materialise(again.mapInArrow(_shared_keys(hubs), "key long, node long, hub long, place long"), "shared")
+        if not shared.take(1):
+            return connected_components(edges)
 
 
 def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
@@ -256,7 +308,7 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         sets = materialise(_set_rows(docs, measure), "sets")
         with_words = sets.filter("n_shingles > 0 and doc_id is not null")
         nodes = materialise(
-            with_words.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("sketch").alias("sketch")),
+            with_words.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("sketch").alias("sketch")),
             "nodes",
         )
         if not nodes.filter("low <> high").take(1):
@@ -264,33 +316,45 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         discard(sets), discard(nodes)
         measure = Measure(measure.k, measure.percent, measure.seed + 1)  # two sets with one hash
 
-    join = _Join(docs, measure, nodes)
     dealt = _key_rows(docs.filter("doc_id is not null"), measure).repartition("key").sortWithinPartitions("key", "node")
-    shared = materialise(dealt.mapInArrow(_shared_keys, "key long, node long, hub long, place long"), "shared")
-    edges = materialise(join.links(shared.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()), "links")
-    component = join.components(edges)
-
-    # Keys with three members or more, of which one is still apart from the first: compare with more of their members.
-    crowded = shared.filter("place > 1").select("key").distinct()
-    open_keys = _apart(shared.select("node", "hub").distinct(), component, "node", "hub").join(shared.select("key", "node", "hub"), ["node", "hub"]).select("key").distinct()
-    members = materialise(shared.join(open_keys, "key", "left_semi").join(crowded, "key", "left_semi").select("key", "node", "place"), "members")
-    low, high = 1, 2
-    while members.filter(F.col("place") > low).take(1):
-        hubs = members.filter(F.col("place").between(low, high - 1)).select("key", F.col("node").alias("b"), F.col("place").alias("first"))
-        met = members.select("key", F.col("node").alias("a"), "place").join(hubs, "key").filter("place > first").select("a", "b").distinct()
-        more = materialise(join.links(_apart(met, component, "a", "b")), "links")
+    shared = materialise(dealt.mapInArrow(_shared_keys(1), "key long, node long, hub long, place long"), "shared")
+    free_shuffles(docs.sparkSession)
+    family = _families(shared, nodes, measure).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+
+    # The families' members, in chunks by the hash of their id; every chunk also gets the family's first members.
+    some = [F.min("doc_id"), *[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))) for i in range(1, FIRST)]]
+    counts = family.groupBy("family").agg(F.count("*").alias("members"), F.array(*some).alias("first"))
+    placed = family.join(counts, "family").withColumn("chunks", F.ceil(F.col("members") / CHUNK).cast("int"))
+    own = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("chunks")).cast("int")
+    everywhere = F.when(F.array_contains("first", F.col("doc_id")), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.col("own")))
+    members = materialise(placed.withColumn("own", own).select("doc_id", "family", "chunks", "own", everywhere.alias("everywhere")).join(docs, "doc_id"), "members")
+    free_shuffles(docs.sparkSession)
+    alone = members.withColumn("chunk", F.explode("everywhere")).withColumns({"component": F.col("doc_id"), "row": F.lit(True)})
+    edges = materialise(_compare(alone, ["family", "chunk"], measure), "links")
+    found = connected_components(edges)
+
+    # Families of several chunks that are not one component yet: what lies outside the largest one meets every chunk.
+    placed = members.filter("chunks > 1").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    sizes = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("kinds")).filter("kinds > 1")
+    split = materialise(placed.join(largest, "family"), "split")
+    if split.take(1):
+        outside = split.filter("component <> largest")
+        blocks = outside.groupBy("family").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
+        block = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("blocks")).cast("int")
+        to_meet = split.join(blocks, "family").withColumn("chunk", F.col("own")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("row", F.lit(False))
+        meeting = outside.join(blocks, "family").withColumn("block", block).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("row", F.lit(True))
+        columns = ["family", "chunk", "block", "doc_id", "text", "component", "row"]
+        # a document that meets its own chunk is there once, as one of the rows
+        both = meeting.select(*columns).unionAll(to_meet.filter((F.col("component") == F.col("largest")) | (F.col("block") != block)).select(*columns))
+        more = materialise(_compare(both, ["family", "chunk", "block"], measure), "links")
         if more.take(1):
-            edges = materialise(edges.unionAll(more), "links")
-            component = join.components(edges)
-        low, high = high, 2 * high
-        placed = members.filter(F.col("place") >= low)
-        labelled = placed.join(component, "node", "left").withColumn("at", F.coalesce(F.concat(F.lit("c"), F.col("component")), F.concat(F.lit("n"), F.col("node"))))
-        split = labelled.groupBy("key").agg(F.min("at").alias("x"), F.max("at").alias("y")).filter("x <> y").select("key")
-        members = materialise(placed.join(split, "key", "left_semi"), "members")
-
-    root = nodes.select("node", "rep").join(component, "node", "left").select("node", F.coalesce("component", "rep").alias("component_id"))
-    return sets.join(root, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+            found = connected_components(edges.unionAll(more))
+
+    root = nodes.select("node", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    root = root.select("node", F.coalesce("component", "rep").alias("component_id"))
+    return sets.select("doc_id", "n_shingles", "node").join(root, "node", "left").select(
+        "doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
