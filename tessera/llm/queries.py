@@ -46,8 +46,7 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return lm_score.score(docs, lm_score.train(docs, table(spark, sf_dir, "labels")))
+    return lm_score.score_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
