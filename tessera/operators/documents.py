@@ -51,13 +51,30 @@ def words(docs: DataFrame, doc_id: str, content: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.explode(found).alias("word"))
 
 
-def score(asked: DataFrame, row_id: str, keywords: str, index: DataFrame, points: int = 12, k: int = 8) -> DataFrame:
+def score(asked: DataFrame, row_id: str, keywords: str, index: DataFrame, points: int = 12, k: int = 8, names: DataFrame | None = None) -> DataFrame:
     """(row, doc_id, score, rank): the k documents with the most keywords, 12 points each, ties to the smaller document.
 
-    Keywords meet documents through the inverted index; only counts leave the join."""
-    tried = asked.select(F.col(row_id).alias("row"), F.explode(F.array_distinct(F.col(keywords))).alias("word"))
-    scored = tried.join(index, "word").groupBy("row", "doc_id").agg((F.count("*") * points).alias("score"))
-    return top_k(scored, [F.col("row")], [F.desc("score"), F.col("doc_id")], k)
+    With `names` (doc_id, name), file names come first: 60 points for a keyword in the name and 45 for one in its stem
+    without separators; contents count for rows that no file name meets. Each distinct list of keywords is scored once.
+    Keywords meet documents through the inverted index, and file names on their substrings; only counts leave the join."""
+    rows = asked.select(F.col(row_id).alias("row"), F.array_sort(F.array_distinct(F.col(keywords))).alias("list"))
+    tried = rows.select("list").distinct().select("list", F.explode("list").alias("word"))
+    scored = tried.join(index, "word").groupBy("list", "doc_id").agg((F.count("*") * points).alias("score"))
+    if names is not None:
+        stem = text.simplify_key(F.regexp_replace("name", r"\.[^.]*$", ""))
+        keys = ((F.lower("name"), text.norm_key(F.col("word")), 60), (stem, text.simplify_key(F.col("word")), 45))
+        hits = [tried.select("list", key.alias("part")).filter("part <> ''").join(names.select("doc_id", F.explode(_substrings(name)).alias("part")), "part").select("list", "doc_id", F.lit(n).cast("long").alias("n")) for name, key, n in keys]
+        named = hits[0].unionAll(hits[1]).groupBy("list", "doc_id").agg(F.sum("n").alias("score"))
+        scored = named.unionByName(scored.join(named.select("list").distinct(), "list", "left_anti"))
+    best = top_k(scored, [F.col("list")], [F.desc("score"), F.col("doc_id")], k)
+    return rows.join(best, "list").select("row", "doc_id", "score", "rank")
+
+
+def _substrings(name: Column) -> Column:
+    """The distinct substrings of a name."""
+    n = F.length(name)
+    some = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda at: F.transform(F.sequence(F.lit(1), F.greatest(n - at + 1, F.lit(1))), lambda size: F.substr(name, at, size)))
+    return F.array_distinct(F.flatten(some))
 
 
 def containing(docs: DataFrame, doc_id: str, content: str, phrases: DataFrame, phrase: str) -> DataFrame:

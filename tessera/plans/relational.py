@@ -167,8 +167,11 @@ ASKED_WORDS = [["the", "blue", "idiot"], ["que", "las"], ["der", "und", "die"],
 
 @query("j_doc_score", f"WITH {WORDS_SQL}, {ENTITIES}, a AS (SELECT entity, unnest(({'[' + ', '.join(sql_list(x) for x in ASKED_WORDS) + ']'})[entity % 5 + 1]) AS word FROM entities WHERE entity < 200), s AS (SELECT entity, doc_id, count(*) * 12 AS score FROM a JOIN ix USING (word) GROUP BY ALL), r AS (SELECT entity AS \"row\", doc_id, score, row_number() OVER (PARTITION BY entity ORDER BY score DESC, doc_id) AS rank FROM s) SELECT * FROM r WHERE rank <= 8")
 def j_doc_score(spark, sf_dir):
-    asked = entities(spark, sf_dir).filter("entity < 200").select("entity", F.element_at(F.array(*[F.array(*map(F.lit, x)) for x in ASKED_WORDS]), (c("entity") % 5 + 1).cast("int")).alias("keywords"))
-    return documents.score(asked, "entity", "keywords", documents.words(read(spark, sf_dir, "documents"), "doc_id", "text"))
+    return documents.score(asked_words(spark, sf_dir).filter("entity < 200"), "entity", "keywords", documents.words(read(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+def asked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities(spark, sf_dir).select("entity", F.element_at(F.array(*[F.array(*map(F.lit, x)) for x in ASKED_WORDS]), (c("entity") % 5 + 1).cast("int")).alias("keywords"))
 
 
 @query("j_doc_any", "WITH p AS (SELECT DISTINCT trim(regexp_replace(lower(substr(text, 1, 30)), '[^a-z0-9]+', ' ', 'g')) AS phrase FROM benchmark), d AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM documents) SELECT doc_id, phrase FROM d JOIN p ON contains(t, ' ' || phrase || ' ')")
@@ -372,7 +375,9 @@ def w_best_cand(spark, sf_dir):
 
 @query("w_top_docs", None)
 def w_top_docs(spark, sf_dir):
-    return j_doc_score(spark, sf_dir)
+    d = read(spark, sf_dir, "documents")
+    names = d.select("doc_id", F.concat(F.lit("paper-"), c("doc_id").cast("string"), F.lit(".md")).alias("name"))
+    return documents.score(asked_words(spark, sf_dir), "entity", "keywords", documents.words(d, "doc_id", "text"), names=names)
 
 
 @query("w_priority", "SELECT user_id, arg_min(event_type, CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3 ELSE 4 END) AS best FROM events GROUP BY user_id")
