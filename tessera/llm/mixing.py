@@ -194,19 +194,44 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budge
     return fit_rates(materialise(weighted.drop("text"), "posteriors"), domains, targets, budget)
 
 
-def mixed(docs: DataFrame, classifier: Classifier, targets: dict[str, float], anchor: str, lift: float = 1.02, seed: int = 11) -> DataFrame:
-    """`docs` mixed to the target shares: as many copies of each row as its rate says, the whole part of it and one more
-    with the chance of the rest, which the row's own hash decides.
+def mixed(docs: DataFrame, classifier: Classifier, targets: dict[str, float], anchor: str, seed: int = 11) -> DataFrame:
+    """`docs` thinned out to the target shares of expected tokens: no row comes out twice.
 
-    The budget is such that the anchor domain's target is `lift` times its expected tokens now, so the other domains are
-    thinned out to their shares while the anchor's documents stay. Texts are classified twice rather than written."""
+    Every row whose most probable domain is the anchor stays, once. The rows of each other domain stay with one rate, of at
+    most 1, which the row's own hash decides; a domain that has less than its share stays whole. Texts are classified
+    twice rather than written."""
     weighted = posteriors(docs, classifier)
     names = [f"p_{d}" for d in classifier.domains]
-    sums = materialise(weighted.select("n_tokens", *names), "posteriors")
-    row = sums.agg(F.sum("n_tokens").alias("all"), F.sum(F.col("n_tokens") * F.col(f"p_{anchor}")).alias("anchor")).first()
-    share = targets[anchor] / max(sum(targets.values()), 1e-12)
-    budget = lift * (row["anchor"] or 0.0) / max((row["all"] or 0) * share, 1e-12)
-    rate = rate_column([F.col(c) for c in names], fit_steps(sums, classifier.domains, targets, budget))
+    rate = F.element_at(F.array(*map(F.lit, kept_rates(weighted, classifier.domains, targets, anchor))), most_probable(classifier.domains, anchor))
     chance = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in docs.columns], F.lit(seed)), F.lit(1_000_003)) / 1_000_003
-    n = (F.floor(rate) + (chance < rate - F.floor(rate)).cast("int")).cast("int")
-    return weighted.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), n))).select(*docs.columns)
+    return weighted.filter(chance < rate).select(*docs.columns)
+
+
+def most_probable(domains: tuple[str, ...], anchor: str) -> Column:
+    """The place from 1 of the most probable domain; the anchor wins ties, then the first."""
+    best = F.array_position(F.array(*[F.col(f"p_{d}") for d in domains]), F.greatest(*[F.col(f"p_{d}") for d in domains], F.lit(0.0)))
+    return F.when(F.col(f"p_{anchor}") >= F.greatest(*[F.col(f"p_{d}") for d in domains], F.lit(0.0)), domains.index(anchor) + 1).otherwise(best).cast("int")
+
+
+def kept_rates(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], anchor: str) -> list[float]:
+    """The rate of each domain's rows, by bounded least squares on the expected tokens of each domain beyond its share.
+
+    One row for each domain reaches the driver."""
+    k, at = len(domains), domains.index(anchor)
+    sums = weighted.groupBy(most_probable(domains, anchor).alias("d")).agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(f"s{i}") for i, d in enumerate(domains)])
+    tokens = np.zeros((k, k))
+    for r in sums.collect():
+        tokens[r["d"] - 1] = [r[f"s{i}"] or 0.0 for i in range(k)]
+    others = [i for i in range(k) if i != at]
+    ratio = np.array([targets.get(domains[i], 0.0) for i in others]) / max(targets[anchor], 1e-12)
+    beyond = tokens[:, others] - np.outer(tokens[:, at], ratio)  # of rows of each domain, over each other domain's share
+    found = np.ones(k)
+    for _ in range(ROUNDS * 10):
+        before = found.copy()
+        for i in others:
+            if square := beyond[i] @ beyond[i]:
+                rest = found @ beyond - found[i] * beyond[i]
+                found[i] = np.clip(-(rest @ beyond[i]) / square, 0.0, 1.0)
+        if np.abs(found - before).max() < 1e-9:
+            break
+    return [float(x) for x in found]

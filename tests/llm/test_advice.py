@@ -1,13 +1,21 @@
 """Whole jobs against brute force: what the first review found cut short."""
 
 import math
+import os
 import random
 from collections import Counter, defaultdict
 from zlib import crc32
 
 import pytest
+import sentencepiece
+from pyspark.sql import functions as F
 
-from tessera.llm import lm_score
+import corpus_pipeline
+from tessera.llm import lm_score, mixing
+from tessera.llm.common import materialise, table
+from tessera.llm.queries import PIECE_MODEL, domains
+
+SF = "/root/testdata/sf0.001"
 
 
 # ------------------------------------------------------------------ 5
@@ -56,3 +64,44 @@ def test_lm_counts_every_word(spark, monkeypatch):
     assert [x[:2] for x in found] == [x[:2] for x in want]
     assert all(a == pytest.approx(b, abs=1e-8) for x, y in zip(found, want, strict=True) for a, b in zip(x[2:], y[2:], strict=True))
     assert lm_score.score_corpus(docs.limit(0), labels).count() == 0
+
+
+# ------------------------------------------------------------------ pipeline
+def test_mixing_keeps_each_anchor_document_once(spark):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, "x " * rng.randrange(5, 50), p) for i, p in enumerate([0.6, 0.9, 1.0] * 100 + [0.1, 0.0] * 200)], "doc_id long, text string, p double")
+    asked = {"good": 0.9, "bad": 0.1}
+
+    class Known:
+        domains = ("bad", "good")
+
+    def given(df, classifier):
+        return df.withColumns({"n_tokens": F.size(F.split(F.trim("text"), " ")), "p_good": F.col("p"), "p_bad": 1 - F.col("p")})
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(mixing, "posteriors", given)
+        for soft in (docs, docs.filter("p <> 0.6")):
+            rows = given(mixing.mixed(soft, Known, asked, "good"), Known).collect()
+            kept = Counter(r["doc_id"] for r in rows)
+            whole = {r["doc_id"] for r in soft.filter("p > 0.5").collect()}
+            assert set(kept.values()) == {1} and whole <= set(kept)
+            share = sum(r["n_tokens"] * r["p_bad"] for r in rows) / sum(r["n_tokens"] for r in rows)
+            assert share == pytest.approx(0.1, abs=0.02) or len(kept) == len(whole)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_run_against_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = materialise(stage(spark, docs, SF))
+    classifier = mixing.train(table(spark, SF, "documents"), domains(table(spark, SF, "labels")), tuple(sorted(corpus_pipeline.TARGETS)))
+    into = docs.collect()
+    _, p = classifier.posteriors([r["text"] or "" for r in into])
+    best = p.argmax(axis=1)
+    anchored = {r["doc_id"] for r, b in zip(into, best, strict=True) if classifier.domains[b] == "good"}
+    known = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    pieces = {r["doc_id"]: known.encode(r["text"] or "") for r in into}
+    out = corpus_pipeline.run(spark, SF).collect()
+    ids = [r["doc_id"] for r in out]
+    assert len(ids) == len(set(ids)) and anchored <= set(ids) <= set(pieces)
+    assert all(list(r["piece_ids"]) == pieces[r["doc_id"]] and r["n_pieces"] == len(pieces[r["doc_id"]]) for r in out)
