@@ -26,14 +26,16 @@ def candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, kn
     """(row, doc_id, method): documents of each row in tiers DOI, file name, title; a document counts in its first tier.
 
     The tiers are equi-joins on keys (a title on its first 60 characters), so they shuffle by key at any size; there is no
-    cross product. Of documents with one key the smallest id stands for all."""
+    cross product. Every document of a key is a candidate; a title met by its start must not be over 60 / 0.3 characters."""
     key = lambda c, n: F.when(F.length(text.clean_key(F.col(c))) >= n, text.clean_key(F.col(c)))
     asked = rows.select(F.col(row_id).alias("row"), key(doi, 6).alias("doi_key"), key(file, 4).alias("file_key"), key(title, 12).alias("title_key"))
     tiers = []
     for n, (name, column) in enumerate((("doi", "doi_key"), ("filename", "file_key"), ("title_partial", "title_key"))):
         short = (lambda c: F.substring(c, 1, 60)) if name == "title_partial" else (lambda c: c)
-        first = known.filter(F.length(column) >= 4).groupBy(short(F.col(column)).alias("k")).agg(F.min("doc_id").alias("doc_id"))
-        met = asked.select("row", short(F.col(column)).alias("k")).join(first, "k")
+        there = known.filter(F.length(column) >= 4).select(short(F.col(column)).alias("k"), "doc_id", F.length(column).alias("length"))
+        met = asked.select("row", short(F.col(column)).alias("k")).join(there, "k")
+        if name == "title_partial":
+            met = met.filter(F.length("k") >= 0.3 * F.col("length"))
         tiers.append(met.select("row", "doc_id", F.lit(n).alias("tier"), F.lit(name).alias("method")))
     every = tiers[0].unionAll(tiers[1]).unionAll(tiers[2])
     return every.groupBy("row", "doc_id").agg(F.min_by("method", "tier").alias("method"))

@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera.operators import documents
 from tessera.plans import relational
 
@@ -36,3 +38,13 @@ def test_top_docs_of_every_entity(spark):
         asked = relational.ASKED_WORDS[entity % 5]
         want |= {(entity, *x) for x in ranked({d: 12 * len(w & set(asked)) for d, w in words.items()})}
     assert {(r["row"], r["doc_id"], r["score"], r["rank"]) for r in relational.w_top_docs(spark, SF).collect()} == want
+
+
+def test_candidates_keep_every_document_of_a_key(spark):
+    start = "a study of thin films on porous supports made by slow interfacial reaction work"
+    docs = [(1, f"# {start} one\n"), (2, f"# {start} two\n"), (3, f"# {start} one\n"), (4, f"# {start} {'and more ' * 30}\n"), (5, "DOI 10.1234/abc.d\n"), (6, "10.1234/ABC.d\n")]
+    table = spark.createDataFrame(docs, "doc_id int, text string")
+    known = documents.catalog(table, "doc_id", F.concat(F.lit("p"), F.col("doc_id")), "text")
+    rows = spark.createDataFrame([(1, "", f"{start} one", ""), (2, "", "", "https://doi.org/10.1234/abc.d")], "row int, file string, title string, doi string")
+    got = {tuple(r) for r in documents.candidates(rows, "row", "file", "title", "doi", known).collect()}
+    assert got == {*((1, d, "title_partial") for d in (1, 2, 3)), (2, 5, "doi"), (2, 6, "doi")}
