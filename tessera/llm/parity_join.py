@@ -2,10 +2,17 @@
 
 A shingle toggles one bit of its document's sketch, so the sketch holds parities and the Hamming distance of two sketches
 never exceeds the symmetric difference of the two sets. Jaccard similarity of at least p % bounds that difference by
-(100 - p) / (100 + p) of the summed sizes. For every band of sizes the sketch is cut into so many parts that two linked
-documents differ in at most one bit in at least one of them; each part has three words of 64 bits, and at least two of
-the three are then equal. Equal pairs of words are found by an equi-join on their hashes (both levels are pigeonhole
-arguments, so no link is lost), and candidates are compared by whole sketches and then by their sets.
+D = (100 - p) / (100 + p) of the summed sizes. For every band of sizes the sketch is cut into parts, each of 2**64 bits
+of which almost all are zero: a part is kept as the xor of its toggled positions, hashed to a key. D differences spoil at
+most D parts, so two linked documents share all but D of their parts that hold anything. Of these a document gives the
+first D + 1 + s in one order for all documents (parts of most shingles first, as they tell most): by the argument of
+prefix filters two linked documents then share at least 1 + s keys, and empty parts are never keys. Keys are packed
+into buckets that one task groups at a time, and only keys of two documents or more go on.
+
+A key of more than FREQUENT documents (a common passage) is left out by every document that has at most s such keys: with
+1 + s shared keys it still meets all its partners under another one. Documents with more of them (near copies of one
+another, mostly) keep them all, so a pair is lost in neither case. What a task sees more often than that is dealt by
+document, not by key, so no bucket grows with one key.
 
 Nothing emits all pairs of a group: documents with equal sets are one node; the members of a join key are compared with
 the key's smallest member only, by their sketches. Those within one and a half times the largest difference D of a linked
@@ -37,7 +44,13 @@ from tessera.llm.common import discard, free_shuffles, id_text_batches, material
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import U64, mix, shingle_sets
 
-WORDS_A_PART = 3
+#: Documents of a key that is looked up by everyone; see above.
+FREQUENT = 16
+#: Keys that a task holds before it passes them on, and keys that a bucket is planned for.
+HELD_KEYS, BUCKET_KEYS = 2_000_000, 500_000
+LEAST_BUCKETS = 2048
+#: A bucket's record: 38 bits of the key, the parity of its band, whether the document is thin; then the document's node.
+RECORD = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<i8")])
 #: Bits of the sketch that compares candidates: at least so many, and at least four a shingle.
 FILTER_BITS = 2048
 #: Members of a family that are compared in one task, and first members (a few by hash) that every chunk of a family gets.
@@ -65,20 +78,25 @@ class Measure:
         """Smallest sizes of the bands: two linked documents lie in one band or in neighbouring ones."""
         bounds = [1]
         while bounds[-1] < 2**40:
-            bounds.append(-(-bounds[-1] * 100 // self.percent))
-            bounds[-1] = max(bounds[-1], bounds[-2] + 1)
+            bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * max(130, -(-10_000 // self.percent)) // 100)))
         return np.array(bounds, np.int64)
 
+    def own_band(self, sizes):
+        return np.searchsorted(self.bands, sizes, side="right") - 1
+
+    def difference(self, band):
+        """D: the largest symmetric difference of a linked pair that meets in this band."""
+        return self.most_apart(2 * (self.bands[np.asarray(band) + 1] - 1))
+
+    def spare(self, band):
+        """s: keys beyond D + 1 that a document gives."""
+        return 2 + (self.difference(band) + 1) // 8
+
     def spread(self, hub_sizes):
         """D: the largest symmetric difference of two linked sets that share a key with a hub of such a size. Their sizes
         are at most two bands' width above the hub's."""
         return self.most_apart(2 * (hub_sizes * 10_000 // (self.percent * self.percent) + 2)) + 1
 
-    def parts(self, band: int) -> int:
-        """Parts of which one at least differs in one bit at most; 0 if only equal sets link in this band."""
-        apart = int(self.most_apart(2 * (int(self.bands[band + 1]) - 1)))
-        return apart // 2 + 1 if apart else 0
-
 
 def parity_words(hashes: np.ndarray, words: int) -> np.ndarray:
     """The sketch of sorted hashes as `words` 64-bit words: the high bits choose the word, the low bits the bit."""
@@ -91,18 +109,27 @@ def parity_words(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def join_keys(hashes: np.ndarray, measure: Measure) -> np.ndarray:
-    """The keys of one document: for its own size band and the next one, each pair of words of each part."""
-    own = int(np.searchsorted(measure.bands, len(hashes), side="right")) - 1
+def join_keys(hashes: np.ndarray, measure: Measure) -> list[tuple[int, np.ndarray, bool]]:
+    """(band, keys, thin) of one document for its own size band, and for the next one if a partner may lie there. A thin
+    document has fewer parts that hold anything than D + 1 + s; with D or fewer it gives the key of all such documents."""
+    own = int(measure.own_band(len(hashes)))
     out = []
-    for band in (own, own + 1):
-        if parts := measure.parts(band):
-            words = parity_words(hashes, parts * WORDS_A_PART).reshape(parts, WORDS_A_PART)
-            place = mix(np.arange(parts, dtype=U64) + U64(band << 40))
-            for leave_out in range(WORDS_A_PART):
-                a, b = (words[:, i] for i in range(WORDS_A_PART) if i != leave_out)
-                out.append(mix(mix(mix(place + U64(leave_out)) ^ a) + b))
-    return np.concatenate(out) if out else np.zeros(0, U64)
+    for band in (own, own + 1) if len(hashes) * 100 // measure.percent >= measure.bands[own + 1] else (own,):
+        if not (most := int(measure.difference(band))):
+            continue  # only equal sets link
+        parts = max(64, 8 * (most + 1) // 5)
+        part = ((hashes >> U64(32)) * U64(parts)) >> U64(32)
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        count = np.diff(np.append(first, len(part)))
+        keys = mix(np.bitwise_xor.reduceat(mix(hashes), first) ^ mix(part[first] + U64(band << 40)))
+        take = most + 1 + int(measure.spare(band))
+        thin = len(keys) < take
+        if not thin:
+            keys = keys[np.lexsort((keys, -count))[:take]]
+        elif len(keys) <= most:
+            keys = np.append(keys, mix(np.array([(band << 40) + (1 << 39)], U64)))
+        out.append((band, keys, thin))
+    return out
 
 
 def filter_sketch(hashes: np.ndarray) -> bytes:
@@ -142,34 +169,134 @@ def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def _key_rows(docs: DataFrame, measure: Measure) -> DataFrame:
-    """(key, node) of each document; a set that this task has just seen gives no second rows."""
+def _key_rows(docs: DataFrame, measure: Measure, buckets: int) -> DataFrame:
+    """(bucket, direct, records) of the documents' keys; a set that this task has just seen gives no second records.
+    Documents of a key beyond the first FREQUENT + 1 of a task are `direct`, in buckets by document."""
+
+    def packed(keys: np.ndarray, flags: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((nodes, keys))
+        keys, flags, nodes = keys[order], flags[order], nodes[order]
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        place = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+        direct = place > FREQUENT
+        bucket = ((keys >> U64(32)) * U64(buckets)) >> U64(32)
+        salted = ((mix(nodes.view(U64)) >> U64(32)) * U64(buckets)) >> U64(32)
+        out: list[tuple[int, bool, bytes]] = []
+        for chosen, to, is_direct in ((np.flatnonzero(~direct), bucket, False), (np.flatnonzero(direct), salted, True)):
+            if not len(chosen):
+                continue
+            chosen = chosen[np.argsort(to[chosen], kind="stable")]
+            records = np.zeros(len(chosen), RECORD)
+            low = (keys[chosen] & U64(2**38 - 1)) << U64(2) | flags[chosen]
+            records["low"], records["high"], records["node"] = low & U64(2**32 - 1), low >> U64(32), nodes[chosen]
+            cuts = np.flatnonzero(np.concatenate(([True], to[chosen][1:] != to[chosen][:-1])))
+            for x, y in zip(cuts, np.append(cuts[1:], len(chosen)), strict=True):
+                # direct records come after the buckets of their keys
+                own = bucket[chosen[x:y]].astype("<u8").tobytes() if is_direct else b""
+                out.append((int(to[chosen[x]]), is_direct, own + records[x:y].tobytes()))
+        b, d, r = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(d), pa.array(r, pa.binary())], names=["bucket", "direct", "records"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        keys: list[np.ndarray] = []
+        flags: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+        held = 0
         for _, texts in id_text_batches(batches):
-            keys, nodes, held = [], [], 0
             for hashes in shingle_sets(texts, measure.k, measure.seed):
                 node = _signed(xxhash.xxh3_64_intdigest(hashes.tobytes(), measure.seed))
                 if not len(hashes) or node in seen:
                     continue
                 if len(seen) > 1_000_000:
-                    seen.clear()  # only saves work: equal rows are merged later
+                    seen.clear()  # only saves work: equal records are merged later
                 seen.add(node)
-                keys.append(join_keys(hashes, measure))
-                nodes.append(np.full(len(keys[-1]), node, np.int64))
-                held += len(keys[-1])
-                if held > 500_000:
-                    yield _pairs("key", keys, "node", nodes)
-                    keys, nodes, held = [], [], 0
-            if keys:
-                yield _pairs("key", keys, "node", nodes)
+                for band, found, thin in join_keys(hashes, measure):
+                    keys.append(found)
+                    flags.append(np.full(len(found), (band & 1) << 1 | thin, U64))
+                    nodes.append(np.full(len(found), node, np.int64))
+                    held += len(found)
+                if held > HELD_KEYS:
+                    yield packed(np.concatenate(keys), np.concatenate(flags), np.concatenate(nodes))
+                    keys, flags, nodes, held = [], [], [], 0
+        if keys:
+            yield packed(np.concatenate(keys), np.concatenate(flags), np.concatenate(nodes))
+
+    return docs.select("text").mapInArrow(run, "bucket long, direct boolean, records binary")
+
+
+def _repeated_keys(most: int):
+    """From rows sorted by bucket: (key, node, band, thin, frequent) of keys of several documents; `band` is its parity,
+    `frequent` are keys of more than `most`."""
+
+    def rows(bucket: np.ndarray, records: np.ndarray, frequent: np.ndarray | None) -> pa.RecordBatch:
+        low = records["high"].astype(np.int64) << 32 | records["low"]
+        key, nodes = bucket << 39 | low >> 1, records["node"]  # the parity of the band belongs to the key
+        order = np.lexsort((nodes, key))
+        key, nodes, low = key[order], nodes[order], low[order]
+        if frequent is None:
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (nodes[1:] != nodes[:-1])
+            key, nodes, low = key[new], nodes[new], low[new]
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            counts = np.diff(np.append(starts, len(key)))
+            many = np.repeat(counts, counts)
+            key, nodes, low, many = key[many > 1], nodes[many > 1], low[many > 1], many[many > 1]
+            frequent = many > most
+        columns = [pa.array(key), pa.array(nodes), pa.array((low >> 1 & 1).astype(np.int32)), pa.array((low & 1).astype(bool)), pa.array(frequent)]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "node", "band", "thin", "frequent"])
+
+    def run(sorted_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in sorted_batches:
+            for bucket, direct, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "direct", "records")), strict=True):
+                if bucket != now and held:
+                    yield rows(np.int64(now), np.concatenate(held), None)
+                    held = []
+                now = bucket
+                if direct:
+                    n = len(data) // (8 + RECORD.itemsize)
+                    own = np.frombuffer(data, "<u8", n).astype(np.int64)
+                    yield rows(own, np.frombuffer(data, RECORD, n, 8 * n), np.ones(n, bool))
+                else:
+                    held.append(np.frombuffer(data, RECORD))
+        if held:
+            yield rows(np.int64(now), np.concatenate(held), None)
+
+    return run
+
+
+def _heavy(measure: Measure):
+    """Of rows (node, n, band, keys, thin): (node, band) of documents that cannot leave their frequent keys out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, parity, keys = (batch.column(c).to_numpy() for c in ("n", "band", "keys"))
+            own = measure.own_band(n)
+            band = own + (own % 2 != parity)
+            chosen = pa.array((keys > measure.spare(band)) | batch.column("thin").to_numpy(zero_copy_only=False))
+            yield batch.filter(chosen).select(["node", "band"])
 
-    return docs.select("text").mapInArrow(run, "key long, node long")
+    return run
 
 
-def _pairs(a: str, x: list[np.ndarray], b: str, y: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)), pa.array(np.concatenate(y))], names=[a, b])
+def _meetings(docs: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
+    """(key, node): the keys under which documents meet."""
+    spark = docs.sparkSession
+    rate = 5 * (100 - measure.percent) / (100 + measure.percent)  # keys a shingle, about
+    total = (nodes.agg(F.sum("n")).first()[0] or 0) * rate
+    buckets = max(LEAST_BUCKETS, int(total // BUCKET_KEYS))
+    tasks = max(buckets // 64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = _key_rows(docs.filter("doc_id is not null"), measure, buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    repeated = materialise(dealt.mapInArrow(_repeated_keys(FREQUENT), "key long, node long, band int, thin boolean, frequent boolean"), "repeated")
+    free_shuffles(spark)
+    frequent = repeated.filter("frequent").select("key", "node", "band", "thin").distinct()
+    counts = frequent.groupBy("node", "band").agg(F.count("*").alias("keys"), F.max("thin").alias("thin"))
+    heavy = counts.join(nodes.select("node", "n"), "node").select("node", "n", "band", "keys", "thin").mapInArrow(_heavy(measure), "node long, band int")
+    kept = repeated.filter("not frequent").select("key", "node").unionAll(frequent.join(heavy, ["node", "band"]).select("key", "node"))
+    found = materialise(kept, "meetings")
+    discard(repeated)
+    return found
 
 
 def _shared_keys(hubs: int):
@@ -210,16 +337,15 @@ def _shared_keys(hubs: int):
 
 
 def _distances(measure: Measure):
-    """(node, hub, near, in_family) of pairs with sizes and sketches."""
+    """(node, hub, node_rep, hub_rep, near, in_family) of pairs with sizes and sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("sketch_a"), batch.column("sketch_b")
-            apart = np.fromiter((hamming(a[i].as_py(), b[i].as_py()) for i in range(len(batch))), np.int64, len(batch))
+            x, y = batch.column("sketch_a"), batch.column("sketch_b")
+            apart = np.fromiter((hamming(x[i].as_py(), y[i].as_py()) for i in range(len(batch))), np.int64, len(batch))
             most = measure.spread(batch.column("n_b").to_numpy())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rep_a"), batch.column("rep_b"), pa.array(2 * apart <= 3 * most), pa.array(2 * apart <= 5 * most)], names=["node", "hub", "near", "in_family"]
-            )
+            columns = [batch.column(c) for c in ("a", "b", "rep_a", "rep_b")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(2 * apart <= 3 * most), pa.array(2 * apart <= 5 * most)], names=["node", "hub", "node_rep", "hub_rep", "near", "in_family"])
 
     return run
 
@@ -274,31 +400,42 @@ def _compare(members: DataFrame, keys: list[str], measure: Measure) -> DataFrame
     return members.select(*keys, "doc_id", "text", "component", "row").groupBy(*keys).applyInArrow(run, "u long, v long")
 
 
-def _families(shared: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
+def _families(met: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
     """(node, component): the family of every representative that may have links."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    names = nodes.select("node", "rep")
-    by = lambda c, rep: names.select(F.col("node").alias(c), F.col("rep").alias(rep))
+    first = met.groupBy("key").agg(F.min("node").alias("hub"))
+    shared = materialise(met.join(first, "key").filter("node <> hub").select("key", "node", "hub", F.lit(1).cast("long").alias("place")), "shared")
     edges: DataFrame | None = None
+    steps: list[DataFrame] = []
     hubs = 1
     while True:
         pairs = shared.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").select("rep_a", "rep_b", "n_b", "sketch_a", "sketch_b")
-        compared = materialise(sized.mapInArrow(_distances(measure), "node long, hub long, near boolean, in_family boolean"), "compared")
-        close = compared.filter("in_family").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+        sized = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "rep_a", "rep_b", "n_b", "sketch_a", "sketch_b")
+        compared = materialise(sized.mapInArrow(_distances(measure), "node long, hub long, node_rep long, hub_rep long, near boolean, in_family boolean"), "compared")
+        steps.append(compared)
+        close = compared.filter("in_family").select(F.col("node_rep").alias("u"), F.col("hub_rep").alias("v"))
         edges = close if edges is None else edges.unionAll(close)
         # Members beyond the reach of every hub of their key meet again, under four times as many hubs.
-        named = compared.select(F.col("node").alias("node_rep"), F.col("hub").alias("hub_rep"), "near").join(by("node", "node_rep"), "node_rep").join(by("hub", "hub_rep"), "hub_rep").select("node", "hub", "near")
         if hubs == 1:
-            left = shared.join(named.filter("not near"), ["node", "hub"]).select("key", "node")
+            left = shared.join(compared.filter("not near"), ["node", "hub"]).select("key", "node")
         else:
-            settled = shared.join(named.filter("near"), ["node", "hub"]).select("key", "node").distinct()
+            settled = shared.join(compared.filter("near"), ["node", "hub"]).select("key", "node").distinct()
             left = shared.filter(F.col("place") >= hubs).select("key", "node").distinct().join(settled, ["key", "node"], "left_anti")
         hubs *= 4
         again = left.repartition("key").sortWithinPartitions("key", "node")
-        shared = materialise(again.mapInArrow(_shared_keys(hubs), "key long, node long, hub long, place long"), "shared")
+        then, shared = shared, materialise(again.mapInArrow(_shared_keys(hubs), "key long, node long, hub long, place long"), "shared")
+        discard(then)
         if not shared.take(1):
-            return connected_components(edges)
+            discard(shared)
+            break
+    # A document and its hubs become a star around the least of them before the components are sought: a row or two a
+    # document, however many hubs a crowded family has. A document has no more hubs than keys.
+    stars = edges.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("others"))
+    thinned = stars.select(F.explode(F.array_append("others", F.col("u"))).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    found = connected_components(thinned)
+    for step in steps:
+        discard(step)
+    return found
 
 
 def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
@@ -308,18 +445,20 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         sets = materialise(_set_rows(docs, measure), "sets")
         with_words = sets.filter("n_shingles > 0 and doc_id is not null")
         nodes = materialise(
-            with_words.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("sketch").alias("sketch")),
-            "nodes",
+            with_words.groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("check").alias("low"), F.max("check").alias("high")), "nodes"
         )
         if not nodes.filter("low <> high").take(1):
             break
         discard(sets), discard(nodes)
         measure = Measure(measure.k, measure.percent, measure.seed + 1)  # two sets with one hash
 
-    dealt = _key_rows(docs.filter("doc_id is not null"), measure).repartition("key").sortWithinPartitions("key", "node")
-    shared = materialise(dealt.mapInArrow(_shared_keys(1), "key long, node long, hub long, place long"), "shared")
+    met = _meetings(docs, nodes, measure)
+    asked = met.select("node").distinct().join(nodes.select("node", F.col("rep").alias("doc_id")), "node")
+    sketched = sets.select("node", "doc_id", "n_shingles", "sketch").join(asked, ["node", "doc_id"]).dropDuplicates(["node"])
+    candidates = materialise(sketched.select("node", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "candidates")
+    family = _families(met, candidates, measure).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+    discard(met), discard(candidates)
     free_shuffles(docs.sparkSession)
-    family = _families(shared, nodes, measure).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
 
     # The families' members, in chunks by the hash of their id; every chunk also gets the family's first members.
     some = [F.min("doc_id"), *[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))) for i in range(1, FIRST)]]

@@ -161,14 +161,33 @@ def families(rng):
     return docs + ["", "a", "a", "A  B", "a b", "x y z", " "] + [" ".join(rng.choice(words) for _ in range(30)) for _ in range(20)]
 
 
-@pytest.mark.parametrize(("k", "percent", "chunk"), [(4, 85, 9), (5, 80, 768)])
-def test_join_matches_brute_force(spark, monkeypatch, k, percent, chunk):
+def crowds(rng):
+    """Documents around common passages, some mostly passage, and a crowd of near copies of which many are not linked."""
+    words = [f"v{i}" for i in range(3000)]
+    passages = [[rng.choice(words) for _ in range(30)] for _ in range(2)]
+    docs = []
+    for _ in range(90):
+        own = [rng.choice(words) for _ in range(rng.choice([6, 8, 20, 40, 90]))]
+        docs.append(" ".join(rng.choice(passages) + own))
+    base = [rng.choice(words) for _ in range(80)]
+    for _ in range(60):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        docs.append(" ".join(w))
+    return docs + [docs[0]] * 30 + ["", None] * 5
+
+
+@pytest.mark.parametrize(("k", "percent", "chunk", "frequent"), [(4, 85, 9, 16), (5, 80, 768, 16), (4, 85, 16, 3), (5, 80, 20, 2)])
+def test_join_matches_brute_force(spark, monkeypatch, k, percent, chunk, frequent):
+    monkeypatch.setattr(parity_join, "FREQUENT", frequent)
+    monkeypatch.setattr(parity_join, "HELD_KEYS", 3000)
     monkeypatch.setattr(parity_join, "CHUNK", chunk)
-    docs = families(random.Random(7))
+    docs = families(random.Random(7)) if frequent > 9 else crowds(random.Random(8))
     measure = parity_join.Measure(k, percent)
     df = spark.createDataFrame([*enumerate(docs), *enumerate(docs[:3]), (None, "a b"), (9999, None)], "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in parity_join.components(df, measure).collect()}
-    sets = list(shingles.shingle_sets(docs, k))
+    sets = list(shingles.shingle_sets([d or "" for d in docs], k))
     root = list(range(len(docs)))
 
     def find(a):
