@@ -10,15 +10,18 @@ prefix filters two linked documents then share at least 1 + s keys, and empty pa
 into buckets that one task groups at a time, and only keys of two documents or more go on.
 
 A key of more than FREQUENT documents (a common passage) is left out by every document that has at most s such keys: with
-1 + s shared keys it still meets all its partners under another one. Documents with more of them (near copies of one
-another, mostly) keep them all, so a pair is lost in neither case. What a task sees more often than that is dealt by
-document, not by key, so no bucket grows with one key.
+1 + s shared keys it still meets all its partners under another one. Those with more are heavy, and meet one another in
+the finest cut of the sketch, where every shingle is a part and a key: linked documents share p % of these, so a document
+leaves frequent ones out if they are fewer than p % of its shingles. Only documents of mostly frequent shingles (a crowd
+of near copies) are left; they keep the frequent keys of the first cut. No pair is lost in any of the three cases. What a
+task sees more often than FREQUENT is dealt by document, not by key, so no bucket grows with one key.
 
 Nothing emits all pairs of a group: documents with equal sets are one node; the members of a join key are compared with
-the key's smallest member only, by their sketches. Those within one and a half times the largest difference D of a linked
-pair are settled, those beyond meet again under their first four members, then sixteen, and so on. Two linked members of a key that are told apart
-in this way are both within two and a half D of the hub that settles the first of them (the triangle inequality of Hamming
-distance), so the pairs within that distance connect families which no link leaves. Families are compared inside, in
+one hub only, the member of most keys (the least edited of a crowd of near copies), by their sketches. Those within one
+and a half times the largest difference D of a linked pair are settled, and those within two and a half D are of the hub's
+family. By the triangle inequality of Hamming distance a linked partner of a settled member is in the family, so what is
+beyond the first bound meets again only if not all of it is in one family: under its first four members, then sixteen, and
+so on. No link leaves the families that these pairs connect. Families are compared inside, in
 chunks of bounded size: each chunk on its own together with the family's first members, then what is still outside the
 family's largest component with every chunk. A chunk skips pairs that its own links already connect and returns only
 links that join components.
@@ -147,30 +150,47 @@ def hamming(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _set_hashes(hashes: np.ndarray, seed: int) -> tuple[int, int]:
+    """Two hashes of a whole set: its node, and the check of it."""
+    data = hashes.tobytes()
+    return _signed(xxhash.xxh3_64_intdigest(data, seed)), _signed(xxhash.xxh64_intdigest(data, seed))
+
+
 def _set_rows(docs: DataFrame, measure: Measure) -> DataFrame:
-    """doc_id, n_shingles, node, check, sketch; node and check are hashes of the whole set."""
+    """doc_id, n_shingles, node, check."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in id_text_batches(batches):
-            out = []
-            for hashes in shingle_sets(texts, measure.k, measure.seed):
-                data = hashes.tobytes()
-                out.append((len(hashes), _signed(xxhash.xxh3_64_intdigest(data, measure.seed)), _signed(xxhash.xxh64_intdigest(data, measure.seed)), filter_sketch(hashes)))
-            n, node, check, sketch = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(sketch, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "check", "sketch"],
-            )
+            out = [(len(hashes), *_set_hashes(hashes, measure.seed)) for hashes in shingle_sets(texts, measure.k, measure.seed)]
+            n, node, check = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, node, check))], names=["doc_id", "n_shingles", "node", "check"])
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, check long")
+
+
+def _with_texts(docs: DataFrame, asked: DataFrame, measure: Measure) -> DataFrame:
+    """(node, rep, n, text, sketch) of the nodes of `asked` (node, rep, n), each with the text of its representative."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                sets = list(shingle_sets([t or "" for t in part.column("text").to_pylist()], measure.k, measure.seed))
+                # a doc_id of several rows may have other texts
+                own = [_set_hashes(hashes, measure.seed)[0] == node for hashes, node in zip(sets, part.column("node").to_pylist(), strict=True)]
+                sketches = pa.array([filter_sketch(x) for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("node", "rep", "n", "text")), sketches], names=["node", "rep", "n", "text", "sketch"]).filter(pa.array(own, pa.bool_()))
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, check long, sketch binary")
+    found = docs.join(asked, docs.doc_id == asked.rep).select("node", "rep", "n", "text")
+    return found.mapInArrow(run, "node long, rep long, n long, text string, sketch binary").dropDuplicates(["node"])
 
 
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def _key_rows(docs: DataFrame, measure: Measure, buckets: int) -> DataFrame:
-    """(bucket, direct, records) of the documents' keys; a set that this task has just seen gives no second records.
+def _key_rows(docs: DataFrame, measure: Measure, buckets: int, fine: bool = False) -> DataFrame:
+    """(bucket, direct, records) of the documents' keys, of the finest cut if `fine`; a set that this task has just seen gives no second records.
     Documents of a key beyond the first FREQUENT + 1 of a task are `direct`, in buckets by document."""
 
     def packed(keys: np.ndarray, flags: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -205,13 +225,13 @@ def _key_rows(docs: DataFrame, measure: Measure, buckets: int) -> DataFrame:
         held = 0
         for _, texts in id_text_batches(batches):
             for hashes in shingle_sets(texts, measure.k, measure.seed):
-                node = _signed(xxhash.xxh3_64_intdigest(hashes.tobytes(), measure.seed))
+                node = _set_hashes(hashes, measure.seed)[0]
                 if not len(hashes) or node in seen:
                     continue
                 if len(seen) > 1_000_000:
                     seen.clear()  # only saves work: equal records are merged later
                 seen.add(node)
-                for band, found, thin in join_keys(hashes, measure):
+                for band, found, thin in [(0, mix(hashes + U64(1)), False)] if fine else join_keys(hashes, measure):
                     keys.append(found)
                     flags.append(np.full(len(found), (band & 1) << 1 | thin, U64))
                     nodes.append(np.full(len(found), node, np.int64))
@@ -280,27 +300,41 @@ def _heavy(measure: Measure):
     return run
 
 
-def _meetings(docs: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
-    """(key, node): the keys under which documents meet."""
+def _repeated(docs: DataFrame, shingles: int, measure: Measure, fine: bool = False) -> DataFrame:
+    """(key, node, band, thin, frequent): the keys of several documents, written; `shingles` is their number in all."""
     spark = docs.sparkSession
-    rate = 5 * (100 - measure.percent) / (100 + measure.percent)  # keys a shingle, about
-    total = (nodes.agg(F.sum("n")).first()[0] or 0) * rate
-    buckets = max(LEAST_BUCKETS, int(total // BUCKET_KEYS))
+    rate = 1 if fine else 5 * (100 - measure.percent) / (100 + measure.percent)  # keys a shingle, about
+    buckets = max(LEAST_BUCKETS, int(shingles * rate // BUCKET_KEYS))
     tasks = max(buckets // 64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = _key_rows(docs.filter("doc_id is not null"), measure, buckets).repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    repeated = materialise(dealt.mapInArrow(_repeated_keys(FREQUENT), "key long, node long, band int, thin boolean, frequent boolean"), "repeated")
+    dealt = _key_rows(docs, measure, buckets, fine).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    found = materialise(dealt.mapInArrow(_repeated_keys(FREQUENT), "key long, node long, band int, thin boolean, frequent boolean"), "repeated")
     free_shuffles(spark)
+    return found
+
+
+def _meetings(repeated: DataFrame, candidates: DataFrame, measure: Measure) -> DataFrame:
+    """(key, node): the keys under which documents meet."""
     frequent = repeated.filter("frequent").select("key", "node", "band", "thin").distinct()
     counts = frequent.groupBy("node", "band").agg(F.count("*").alias("keys"), F.max("thin").alias("thin"))
-    heavy = counts.join(nodes.select("node", "n"), "node").select("node", "n", "band", "keys", "thin").mapInArrow(_heavy(measure), "node long, band int")
-    kept = repeated.filter("not frequent").select("key", "node").unionAll(frequent.join(heavy, ["node", "band"]).select("key", "node"))
+    sized = counts.join(candidates.select("node", "n"), "node").select("node", "n", "band", "keys", "thin")
+    heavy = materialise(sized.mapInArrow(_heavy(measure), "node long, band int"), "heavy")
+    again = candidates.join(heavy.select("node").distinct(), "node", "left_semi")
+    fine = _repeated(again.select("text"), again.agg(F.sum("n")).first()[0] or 0, measure, fine=True)
+    crowded = fine.filter("frequent").select("key", "node").distinct().groupBy("node").agg(F.count("*").alias("keys")).join(candidates.select("node", "n"), "node")
+    crowd = heavy.join(crowded.filter(F.col("keys") * 100 >= F.col("n") * measure.percent).select("node"), "node", "left_semi")
+    kept = (
+        repeated.filter("not frequent").select("key", "node")
+        .unionAll(fine.filter("not frequent").select("key", "node"))
+        .unionAll(frequent.join(crowd, ["node", "band"]).select("key", "node"))
+    )
     found = materialise(kept, "meetings")
-    discard(repeated)
+    for step in (heavy, fine):
+        discard(step)
     return found
 
 
 def _shared_keys(hubs: int):
-    """From rows sorted by (key, node): rows (key, node, hub, place) of every member of a key with each of the key's first
+    """From rows sorted by key, those of one node side by side: rows (key, node, hub, place) of every member of a key with each of the key's first
     `hubs` members before it; place is the member's position from 0. A key may run through many batches; only its first
     members and its last one are held."""
 
@@ -403,7 +437,8 @@ def _compare(members: DataFrame, keys: list[str], measure: Measure) -> DataFrame
 def _families(met: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
     """(node, component): the family of every representative that may have links."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    first = met.groupBy("key").agg(F.min("node").alias("hub"))
+    order = materialise(met.groupBy("node").agg((-F.count("*")).alias("order")), "order")
+    first = met.join(order, "node").groupBy("key").agg(F.min(F.struct("order", "node"))["node"].alias("hub"))
     shared = materialise(met.join(first, "key").filter("node <> hub").select("key", "node", "hub", F.lit(1).cast("long").alias("place")), "shared")
     edges: DataFrame | None = None
     steps: list[DataFrame] = []
@@ -415,14 +450,14 @@ def _families(met: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
         steps.append(compared)
         close = compared.filter("in_family").select(F.col("node_rep").alias("u"), F.col("hub_rep").alias("v"))
         edges = close if edges is None else edges.unionAll(close)
-        # Members beyond the reach of every hub of their key meet again, under four times as many hubs.
-        if hubs == 1:
-            left = shared.join(compared.filter("not near"), ["node", "hub"]).select("key", "node")
-        else:
-            settled = shared.join(compared.filter("near"), ["node", "hub"]).select("key", "node").distinct()
-            left = shared.filter(F.col("place") >= hubs).select("key", "node").distinct().join(settled, ["key", "node"], "left_anti")
+        # Members beyond the reach of every hub of their key meet again, under four times as many hubs, unless one hub's
+        # family has all of them.
+        seen = shared.join(compared, ["node", "hub"]).select("key", "node", "hub", "place", "near", "in_family")
+        beyond = seen.groupBy("key", "node").agg(F.max("near").alias("near"), F.max("place").alias("place")).filter((F.col("place") >= hubs) & ~F.col("near")).select("key", "node")
+        covered = seen.filter("in_family").join(beyond, ["key", "node"]).groupBy("key", "hub").count().groupBy("key").agg(F.max("count").alias("covered"))
+        open_keys = beyond.groupBy("key").count().join(covered, "key", "left").filter("covered is null or covered < count").select("key")
         hubs *= 4
-        again = left.repartition("key").sortWithinPartitions("key", "node")
+        again = beyond.join(open_keys, "key").join(order, "node").repartition("key").sortWithinPartitions("key", "order", "node").select("key", "node")
         then, shared = shared, materialise(again.mapInArrow(_shared_keys(hubs), "key long, node long, hub long, place long"), "shared")
         discard(then)
         if not shared.take(1):
@@ -433,7 +468,7 @@ def _families(met: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
     stars = edges.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("others"))
     thinned = stars.select(F.explode(F.array_append("others", F.col("u"))).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
     found = connected_components(thinned)
-    for step in steps:
+    for step in [*steps, order]:
         discard(step)
     return found
 
@@ -452,21 +487,23 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         discard(sets), discard(nodes)
         measure = Measure(measure.k, measure.percent, measure.seed + 1)  # two sets with one hash
 
-    met = _meetings(docs, nodes, measure)
-    asked = met.select("node").distinct().join(nodes.select("node", F.col("rep").alias("doc_id")), "node")
-    sketched = sets.select("node", "doc_id", "n_shingles", "sketch").join(asked, ["node", "doc_id"]).dropDuplicates(["node"])
-    candidates = materialise(sketched.select("node", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), "candidates")
-    family = _families(met, candidates, measure).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    discard(met), discard(candidates)
+    repeated = _repeated(docs.filter("doc_id is not null"), nodes.agg(F.sum("n")).first()[0] or 0, measure)
+    candidates = materialise(_with_texts(docs, repeated.select("node").distinct().join(nodes.select("node", "rep", "n"), "node"), measure), "candidates")
+    met = _meetings(repeated, candidates, measure)
+    discard(repeated)
+    family = _families(met, candidates, measure).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    discard(met)
     free_shuffles(docs.sparkSession)
 
     # The families' members, in chunks by the hash of their id; every chunk also gets the family's first members.
-    some = [F.min("doc_id"), *[F.min_by("doc_id", F.xxhash64("doc_id", F.lit(i))) for i in range(1, FIRST)]]
+    some = [F.min("rep"), *[F.min_by("rep", F.xxhash64("rep", F.lit(i))) for i in range(1, FIRST)]]
     counts = family.groupBy("family").agg(F.count("*").alias("members"), F.array(*some).alias("first"))
     placed = family.join(counts, "family").withColumn("chunks", F.ceil(F.col("members") / CHUNK).cast("int"))
-    own = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("chunks")).cast("int")
-    everywhere = F.when(F.array_contains("first", F.col("doc_id")), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.col("own")))
-    members = materialise(placed.withColumn("own", own).select("doc_id", "family", "chunks", "own", everywhere.alias("everywhere")).join(docs, "doc_id"), "members")
+    own = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("chunks")).cast("int")
+    everywhere = F.when(F.array_contains("first", F.col("rep")), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.col("own")))
+    placed = placed.withColumn("own", own).select("rep", "family", "chunks", "own", everywhere.alias("everywhere"))
+    members = materialise(placed.join(candidates.select("rep", "text"), "rep").withColumnRenamed("rep", "doc_id"), "members")
+    discard(candidates)
     free_shuffles(docs.sparkSession)
     alone = members.withColumn("chunk", F.explode("everywhere")).withColumns({"component": F.col("doc_id"), "row": F.lit(True)})
     edges = materialise(_compare(alone, ["family", "chunk"], measure), "links")
@@ -490,6 +527,7 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         if more.take(1):
             found = connected_components(edges.unionAll(more))
 
+    discard(members), discard(edges)
     root = nodes.select("node", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     root = root.select("node", F.coalesce("component", "rep").alias("component_id"))
     return sets.select("doc_id", "n_shingles", "node").join(root, "node", "left").select(
