@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a session of one machine gets
+    a temporary folder, and a cluster an error: a folder of one of its machines would be lost to the others."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -71,15 +74,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, bound: int)
     """At most `bound` labelled (doc_id, whole text, label) rows that are not held out, in doc_id order.
 
     The ids with the smallest hashes are taken, from the narrow labels table alone, so the choice is the same on every
-    run and at every size; their count bounds what is broadcast and what reaches the driver."""
+    run and at every size; their count bounds what is broadcast and what reaches the driver. Of several rows with one id
+    the executors keep the smallest text."""
     ids = (
         one_label(labels, column)
         .filter(~held_out())
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.col("text").isNotNull()).collect()
-    return sorted({(int(r["doc_id"]), r["text"], int(r["label"])) for r in rows})
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.col("text").isNotNull())
+    rows = found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
+    return sorted((int(r["doc_id"]), r["text"], int(r["label"])) for r in rows)
+
+
+def behind_plain_names(docs: DataFrame, step: Callable[[DataFrame], DataFrame], appended: Iterable[str]) -> DataFrame:
+    """`step` applied to `docs`, with columns that are named like one it appends under generated names meanwhile; of its
+    result the columns of `docs` come out, as they were."""
+    taken = {c.lower() for c in appended}
+    names = {c: f"__kept_{i}" if c.lower() in taken else c for i, c in enumerate(docs.columns)}
+    out = step(docs.toDF(*names.values()))
+    return out.select(*[F.col(hidden).alias(c) for c, hidden in names.items()])
 
 
 def id_text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

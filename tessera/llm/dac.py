@@ -126,9 +126,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
 
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for at in range(0, len(ids), 256):
-                texts = [t or "" for t in batch.column("text").slice(at, 256).to_pylist()]
-                for doc_id, packed in zip(ids[at : at + 256], encoder.packed(texts), strict=True):
+            for at in range(0, len(ids), 1024):
+                texts = [t or b"" for t in batch.column("text").slice(at, 1024).cast(pa.binary()).to_pylist()]
+                for doc_id, packed in zip(ids[at : at + 1024], encoder.packed(texts), strict=True):
                     doc_ids.append(NO_ID if doc_id is None else doc_id)
                     held.append(packed + end)
                     tokens += len(held[-1]) // 4

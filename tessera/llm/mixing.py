@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import id_text_batches, labelled_sample, materialise
+from tessera.llm.common import behind_plain_names, id_text_batches, labelled_sample, materialise
 from tessera.llm.shingles import PIECE, U64, mix, word_hashes
 
 #: Labelled rows the classifier is fitted on, at most; hashed features, and those kept by the fit.
@@ -149,11 +149,13 @@ def posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
 
 
 def fit_rates(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], budget: float = 1.0, rounds: int = ROUNDS) -> DataFrame:
-    """`weighted` (n_tokens and p_<domain> columns) with a column rate.
+    """`weighted` (n_tokens and p_<domain> columns) with columns rate and residual: how far the domain that
+    is farthest from its target is from it, as a share of all tokens. Beyond CLOSE the targets can not be met (or not in
+    `rounds` rounds), and the caller should know.
 
     Targets are shares; together they take `budget` times the tokens of the table. Rates start from 1."""
-    steps = fit_steps(weighted, domains, targets, budget, rounds)
-    return weighted.withColumn("rate", rate_column([F.col(f"p_{d}") for d in domains], steps))
+    steps, residual = fit_steps(weighted, domains, targets, budget, rounds)
+    return weighted.withColumns({"rate": rate_column([F.col(f"p_{d}") for d in domains], steps), "residual": F.lit(residual)})
 
 
 def rate_column(ps: list[Column], steps: list[list[float]]) -> Column:
@@ -162,8 +164,8 @@ def rate_column(ps: list[Column], steps: list[list[float]]) -> Column:
     return F.aggregate(table, F.lit(1.0), lambda rate, s: F.greatest(F.lit(0.0), rate - reduce(add, [p * s[i] for i, p in enumerate(ps)])))
 
 
-def fit_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], budget: float = 1.0, rounds: int = ROUNDS) -> list[list[float]]:
-    """The gradient steps, as many numbers each as there are domains: a row's rate moves by their product with its posteriors."""
+def fit_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], budget: float = 1.0, rounds: int = ROUNDS) -> tuple[list[list[float]], float]:
+    """The residual (see fit_rates), and the gradient steps, as many numbers each as there are domains: a row's rate moves by their product with its posteriors."""
     ps = [F.col(f"p_{d}") for d in domains]
     tokens = F.col("n_tokens").cast("double")
     k = len(domains)
@@ -171,7 +173,8 @@ def fit_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str,
     shares = np.array([targets.get(d, 0.0) for d in domains])
     wanted = shares / max(shares.sum(), 1e-12) * total * budget
     steps: list[list[float]] = []
-    while total and len(steps) < rounds:
+    off = 0.0
+    while total:
         rated = weighted.select(tokens.alias("n"), rate_column(ps, steps).alias("rate"), *ps)
         free = F.col("n") * (F.col("rate") > 0).cast("double")
         got = rated.agg(
@@ -179,12 +182,13 @@ def fit_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str,
             *[F.sum(free * ps[i] * ps[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
         ).first()
         residual = np.array([got[f"s{i}"] or 0.0 for i in range(k)]) - wanted
-        if np.abs(residual).max() <= CLOSE * total:
+        off = float(np.abs(residual).max() / total)
+        if off <= CLOSE or len(steps) == rounds:
             break
         gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
         weight = np.linalg.inv(gram + np.eye(k) * max(1e-9 * np.trace(gram), 1e-12))
         steps.append([float(x) for x in weight @ residual])
-    return steps
+    return steps, off
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float = 1.0) -> DataFrame:
@@ -200,11 +204,15 @@ def mixed(docs: DataFrame, classifier: Classifier, targets: dict[str, float], an
     Every row whose most probable domain is the anchor stays, once. The rows of each other domain stay with one rate, of at
     most 1, which the row's own hash decides; a domain that has less than its share stays whole. Texts are classified
     twice rather than written."""
-    weighted = posteriors(docs, classifier)
-    names = [f"p_{d}" for d in classifier.domains]
-    rate = F.element_at(F.array(*map(F.lit, kept_rates(weighted, classifier.domains, targets, anchor))), most_probable(classifier.domains, anchor))
-    chance = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in docs.columns], F.lit(seed)), F.lit(1_000_003)) / 1_000_003
-    return weighted.filter(chance < rate).select(*docs.columns)
+
+    def thin(rows: DataFrame) -> DataFrame:
+        weighted = posteriors(rows, classifier)
+        rates = kept_rates(weighted, classifier.domains, targets, anchor)
+        rate = F.element_at(F.array(*map(F.lit, rates)), most_probable(classifier.domains, anchor))
+        chance = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in rows.columns], F.lit(seed)), F.lit(1_000_003)) / 1_000_003
+        return weighted.filter(chance < rate)
+
+    return behind_plain_names(docs, thin, ["n_tokens", *(f"p_{d}" for d in classifier.domains)])
 
 
 def most_probable(domains: tuple[str, ...], anchor: str) -> Column:

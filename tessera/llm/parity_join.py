@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import discard, free_shuffles, id_text_batches, materialise
+from tessera.llm.common import behind_plain_names, discard, free_shuffles, id_text_batches, materialise
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import U64, mix, shingle_sets
 
@@ -538,6 +538,9 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
 def one_of_each(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """`docs` without the documents that are linked to one of smaller doc_id; of rows with one doc_id, one stays."""
     found = components(docs, measure).filter("doc_id <> component_id").select("doc_id").distinct()
-    w = W.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    unlinked = docs.join(found, "doc_id", "left_anti")
-    return unlinked.withColumn("__nth", F.row_number().over(w)).filter("__nth = 1 or doc_id is null").drop("__nth")
+
+    def first_rows(rows: DataFrame) -> DataFrame:
+        w = W.partitionBy("doc_id").orderBy(F.xxhash64(*rows.columns))
+        return rows.join(found, "doc_id", "left_anti").withColumn("nth", F.row_number().over(w)).filter("nth = 1 or doc_id is null")
+
+    return behind_plain_names(docs, first_rows, ["nth"])

@@ -51,7 +51,7 @@ class ByteCNN:
         held = 0
         for i, text in enumerate(texts):
             if len(text) > PIECE:
-                for at in range(0, len(text), PIECE):
+                for at in range(0, len(text) - BLOCK, PIECE):  # a last block alone is in the chunk before it
                     piece = padded(text[at : at + PIECE + BLOCK])  # one block more, so that no chunk is missed
                     out[i] = np.maximum(out[i], self.responses(piece).max(axis=0))
                 continue

@@ -108,11 +108,9 @@ def resolved(base: Column, link: Column) -> Column:
 
 def page_edges(pages: DataFrame) -> DataFrame:
     """(u, v): the nodes that canonical links and refreshes of the pages join."""
-    href = F.regexp_extract(F.col("html"), LINK, 0)
-    refresh = F.regexp_extract(F.col("html"), REFRESH, 0)
-    found = pages.filter(F.col("url").contains("://") & F.col("html").isNotNull()).select(
-        "url", F.explode(F.array(F.concat(*[F.regexp_extract(href, HREF, i) for i in (1, 2, 3)]), F.regexp_extract(refresh, TARGET, 1))).alias("link")
-    )
+    links = F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(0)), lambda tag: F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)]))
+    refreshes = F.transform(F.regexp_extract_all("html", F.lit(REFRESH), F.lit(0)), lambda tag: F.regexp_extract(tag, TARGET, 1))
+    found = pages.filter(F.col("url").contains("://") & F.col("html").isNotNull()).select("url", F.explode(F.concat(links, refreshes)).alias("link"))
     linked = found.filter("link <> ''").select("url", resolved(F.col("url"), F.col("link")).alias("to"))
     return linked.select(canonical(F.col("url")).alias("u"), canonical(F.col("to")).alias("v"))
 
@@ -128,16 +126,13 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFram
     if redirects is not None:
         edges = edges.unionAll(redirects.select(canonical(F.col("from_url")).alias("u"), canonical(F.col("to_url")).alias("v")))
     component = connected_components(edges).withColumnRenamed("component", "root")
-    placed = ruled.join(component, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    # urls that are no node are joined with nothing: their null keys would all meet in one task
+    placed = ruled.filter("node is not null").join(component, "node", "left").withColumn("component", F.coalesce("root", "node"))
     blocked = placed.filter("decided = 'block'").select("component").distinct().withColumn("aliased", F.lit(True))
-    return placed.join(blocked, "component", "left").select(
-        "page_id",
-        "host",
-        "path",
-        "rule",
-        F.coalesce("decided", F.when(F.col("aliased"), "block"), F.lit("allow")).alias("verdict"),
-        "component",
-    )
+    verdict = F.coalesce("decided", F.when(F.col("aliased"), "block"), F.lit("allow")).alias("verdict")
+    columns = ["page_id", "host", "path", "rule", verdict, "component"]
+    apart = ruled.filter("node is null").withColumns({"component": F.lit(None).cast("string"), "aliased": F.lit(False)})
+    return placed.join(blocked, "component", "left").select(*columns).unionAll(apart.select(*columns))
 
 
 def filter_pages(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -174,9 +169,10 @@ hosted AS (
   FROM split),
 ruled AS (SELECT page_id, host, path, node, {_sql_rule('rule')} AS rule, {_sql_rule('verdict')} AS decided FROM hosted),
 links AS (
-  SELECT url, regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1) AS link FROM hosted WHERE contains(url, '://')
-  UNION ALL
-  SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), '(?is)\\burl\\s*=\\s*["'']?([^"''>\\s]+)', 1) FROM hosted WHERE contains(url, '://')),
+  SELECT url, unnest(list_concat(
+    list_transform(regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), lambda t: regexp_extract(t, '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1)),
+    list_transform(regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), lambda t: regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?([^"''>\\s]+)', 1)))) AS link
+  FROM hosted WHERE contains(url, '://')),
 targets AS (
   SELECT url, CASE WHEN contains(link, '://') THEN link WHEN starts_with(link, '//') THEN regexp_extract(url, '^(.*?)://', 1) || ':' || link
     ELSE regexp_extract(url, '^.*?://[^/?#]*') || CASE WHEN starts_with(link, '/') THEN link ELSE '/' || link END END AS target

@@ -34,7 +34,8 @@ from tessera.llm.common import id_text_batches
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_SEGMENTS = 600_000
+#: Entries of a worker's tables; beyond that they start anew. They bound memory, never results.
+CACHE_SEGMENTS, CACHE_NEIGHBOURS = 600_000, 2_000_000
 START = -1
 
 
@@ -95,6 +96,8 @@ class Transducer:
         key = (last, piece)
         allowed = self.neighbours.get(key)
         if allowed is None:
+            if len(self.neighbours) > CACHE_NEIGHBOURS:
+                self.neighbours.clear()
             b = self.texts[piece]
             pair = [self.texts[last], b] if last != START else [b]
             allowed = self.neighbours[key] = self.merged("".join(pair)) == pair

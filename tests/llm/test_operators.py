@@ -37,6 +37,15 @@ def test_cnn_learns_and_pools_over_pieces():
     assert np.allclose(model.pooled([long, b""])[0], whole, atol=1e-4)
 
 
+def test_cnn_pieces_of_any_length(monkeypatch):
+    monkeypatch.setattr(quality_cnn, "PIECE", 64)
+    rng = np.random.default_rng(3)
+    model = quality_cnn.fit([("ab cd", 1), ("## $$", 0)] * 4, epochs=1)
+    for n in [*range(60, 90), *range(120, 150)]:
+        data = rng.integers(1, 256, n).astype(np.uint8).tobytes()
+        assert np.allclose(model.pooled([data])[0], model.responses(quality_cnn.padded(data)).max(axis=0), atol=1e-5), n
+
+
 def test_cnn_edges(spark):
     model = quality_cnn.fit([("a", 1), ("b", 1)])
     got = quality_cnn.score(frame(spark, ODD, True), model).collect()
@@ -273,7 +282,7 @@ def test_run_encoder_equals_the_library():
     rng = random.Random(2)
     parts = ["the", "don't", "THE", "!!", ",", "é", "É", "é", "́", "İ", "ß", "ﬁ", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "12", "日本", " ", "\n", "　", "\x1c", "'S", "word."]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(3000)]
-    for text, packed in zip(texts, mine.packed(texts), strict=True):
+    for text, packed in zip(texts, mine.packed([t.encode() for t in texts]), strict=True):
         assert np.frombuffer(packed, "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
