@@ -2,14 +2,15 @@
 
 A shingle toggles one bit of its document's sketch, so the sketch holds parities and the Hamming distance of two sketches
 never exceeds the symmetric difference of the two sets. Jaccard similarity of at least p % bounds that difference by
-D = (100 - p) / (100 + p) of the summed sizes. For every band of sizes the sketch is cut into parts, each of 2**64 bits
+D = (100 - p) / (100 + p) of the summed sizes, and a partner's size by 100 / p of a document's own. For every band of sizes the sketch is cut into parts, each of 2**64 bits
 of which almost all are zero: a part is kept as the xor of its toggled positions, hashed to a key. D differences spoil at
 most D parts, so two linked documents share all but D of their parts that hold anything. Of these a document gives the
 first D + 1 + s in one order for all documents (parts of most shingles first, as they tell most): by the argument of
 prefix filters two linked documents then share at least 1 + s keys, and empty parts are never keys. Keys are packed
 into buckets that one task groups at a time, and only keys of two documents or more go on.
 
-A key of more than FREQUENT documents (a common passage) is left out by every document that has at most s such keys: with
+So a document of which fewer than 1 + s keys are another document's too has no partner, and its keys go (a passage shared
+with a few documents makes fewer). A key of more than FREQUENT documents (a common passage) is left out by every document that has at most s such keys: with
 1 + s shared keys it still meets all its partners under another one. Those with more are heavy, and meet one another in
 the finest cut of the sketch, where every shingle is a part and a key: linked documents share p % of these, so a document
 leaves frequent ones out if they are fewer than p % of its shingles. Only documents of mostly frequent shingles (a crowd
@@ -50,7 +51,7 @@ from tessera.llm.shingles import U64, mix, shingle_sets
 #: Documents of a key that is looked up by everyone; see above.
 FREQUENT = 16
 #: Keys that a task holds before it passes them on, and keys that a bucket is planned for.
-HELD_KEYS, BUCKET_KEYS = 2_000_000, 500_000
+HELD_KEYS, BUCKET_KEYS = 600_000, 500_000
 LEAST_BUCKETS = 2048
 #: A bucket's record: 38 bits of the key, the parity of its band, whether the document is thin; then the document's node.
 RECORD = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<i8")])
@@ -58,6 +59,8 @@ RECORD = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<i8")])
 FILTER_BITS = 2048
 #: Members of a family that are compared in one task, and first members (a few by hash) that every chunk of a family gets.
 CHUNK, FIRST = 768, 4
+#: Shingles of such members, at most but for the last document's; sets of a task are held at once.
+CHUNK_SHINGLES = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -81,7 +84,7 @@ class Measure:
         """Smallest sizes of the bands: two linked documents lie in one band or in neighbouring ones."""
         bounds = [1]
         while bounds[-1] < 2**40:
-            bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * max(130, -(-10_000 // self.percent)) // 100)))
+            bounds.append(max(bounds[-1] + 1, -(-bounds[-1] * max(160, -(-10_000 // self.percent)) // 100)))
         return np.array(bounds, np.int64)
 
     def own_band(self, sizes):
@@ -91,8 +94,12 @@ class Measure:
         """D: the largest symmetric difference of a linked pair that meets in this band."""
         return self.most_apart(2 * (self.bands[np.asarray(band) + 1] - 1))
 
+    def own_difference(self, size: int) -> int:
+        """D of a document: from any partner, whose size its own bounds."""
+        return int(self.most_apart(size + size * 100 // self.percent))
+
     def spare(self, band):
-        """s: keys beyond D + 1 that a document gives."""
+        """s: keys beyond D + 1 that a document gives in this band."""
         return 2 + (self.difference(band) + 1) // 8
 
     def spread(self, hub_sizes):
@@ -118,9 +125,9 @@ def join_keys(hashes: np.ndarray, measure: Measure) -> list[tuple[int, np.ndarra
     own = int(measure.own_band(len(hashes)))
     out = []
     for band in (own, own + 1) if len(hashes) * 100 // measure.percent >= measure.bands[own + 1] else (own,):
-        if not (most := int(measure.difference(band))):
+        if not (most := measure.own_difference(len(hashes))):
             continue  # only equal sets link
-        parts = max(64, 8 * (most + 1) // 5)
+        parts = max(64, 7 * (int(measure.difference(band)) + 1) // 5)
         part = ((hashes >> U64(32)) * U64(parts)) >> U64(32)
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         count = np.diff(np.append(first, len(part)))
@@ -286,16 +293,18 @@ def _repeated_keys(most: int):
     return run
 
 
-def _heavy(measure: Measure):
-    """Of rows (node, n, band, keys, thin): (node, band) of documents that cannot leave their frequent keys out."""
+def _partnered(measure: Measure):
+    """Of rows (node, n, band, keys, frequent, thin), the counts being of keys that are not the document's alone: (node,
+    band, heavy) of documents that may have partners; heavy ones cannot leave their frequent keys out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, parity, keys = (batch.column(c).to_numpy() for c in ("n", "band", "keys"))
+            n, parity, keys, frequent = (batch.column(c).to_numpy() for c in ("n", "band", "keys", "frequent"))
+            thin = batch.column("thin").to_numpy(zero_copy_only=False)
             own = measure.own_band(n)
-            band = own + (own % 2 != parity)
-            chosen = pa.array((keys > measure.spare(band)) | batch.column("thin").to_numpy(zero_copy_only=False))
-            yield batch.filter(chosen).select(["node", "band"])
+            spare = measure.spare(own + (own % 2 != parity))
+            out = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("band"), pa.array(thin | (frequent > spare))], names=["node", "band", "heavy"])
+            yield out.filter(pa.array(thin | (keys > spare)))
 
     return run
 
@@ -312,24 +321,29 @@ def _repeated(docs: DataFrame, shingles: int, measure: Measure, fine: bool = Fal
     return found
 
 
-def _meetings(repeated: DataFrame, candidates: DataFrame, measure: Measure) -> DataFrame:
+def _partners(repeated: DataFrame, nodes: DataFrame, measure: Measure) -> tuple[DataFrame, DataFrame]:
+    """(key, node, band, frequent) of documents that may have partners, and (node, band) of the heavy ones among them. A
+    record that two tasks gave counts twice, which only keeps more."""
+    counts = repeated.groupBy("node", "band").agg(F.count("*").alias("keys"), F.sum(F.col("frequent").cast("long")).alias("frequent"), F.max("thin").alias("thin"))
+    sized = counts.join(nodes.select("node", "n"), "node").select("node", "n", "band", "keys", "frequent", "thin")
+    found = materialise(sized.mapInArrow(_partnered(measure), "node long, band int, heavy boolean"), "partnered")
+    kept = materialise(repeated.join(found, ["node", "band"]).filter("heavy or not frequent").select("key", "node", "band", "frequent"), "kept")
+    return kept, found.filter("heavy").select("node", "band")
+
+
+def _meetings(kept: DataFrame, heavy: DataFrame, candidates: DataFrame, measure: Measure) -> DataFrame:
     """(key, node): the keys under which documents meet."""
-    frequent = repeated.filter("frequent").select("key", "node", "band", "thin").distinct()
-    counts = frequent.groupBy("node", "band").agg(F.count("*").alias("keys"), F.max("thin").alias("thin"))
-    sized = counts.join(candidates.select("node", "n"), "node").select("node", "n", "band", "keys", "thin")
-    heavy = materialise(sized.mapInArrow(_heavy(measure), "node long, band int"), "heavy")
     again = candidates.join(heavy.select("node").distinct(), "node", "left_semi")
     fine = _repeated(again.select("text"), again.agg(F.sum("n")).first()[0] or 0, measure, fine=True)
     crowded = fine.filter("frequent").select("key", "node").distinct().groupBy("node").agg(F.count("*").alias("keys")).join(candidates.select("node", "n"), "node")
-    crowd = heavy.join(crowded.filter(F.col("keys") * 100 >= F.col("n") * measure.percent).select("node"), "node", "left_semi")
-    kept = (
-        repeated.filter("not frequent").select("key", "node")
+    crowd = crowded.filter(F.col("keys") * 100 >= F.col("n") * measure.percent).select("node")
+    met = (
+        kept.filter("not frequent").select("key", "node")
         .unionAll(fine.filter("not frequent").select("key", "node"))
-        .unionAll(frequent.join(crowd, ["node", "band"]).select("key", "node"))
+        .unionAll(kept.filter("frequent").join(crowd, "node", "left_semi").select("key", "node"))
     )
-    found = materialise(kept, "meetings")
-    for step in (heavy, fine):
-        discard(step)
+    found = materialise(met, "meetings")
+    discard(fine)
     return found
 
 
@@ -488,21 +502,27 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
         measure = Measure(measure.k, measure.percent, measure.seed + 1)  # two sets with one hash
 
     repeated = _repeated(docs.filter("doc_id is not null"), nodes.agg(F.sum("n")).first()[0] or 0, measure)
-    candidates = materialise(_with_texts(docs, repeated.select("node").distinct().join(nodes.select("node", "rep", "n"), "node"), measure), "candidates")
-    met = _meetings(repeated, candidates, measure)
+    kept, heavy = _partners(repeated, nodes, measure)
     discard(repeated)
+    asked = materialise(kept.select("node").distinct().join(nodes.select("node", "rep", "n"), "node"), "asked")  # its size is known then
+    candidates = materialise(_with_texts(docs, asked, measure), "candidates")
+    free_shuffles(docs.sparkSession)
+    met = _meetings(kept, heavy, candidates, measure)
+    discard(kept), discard(heavy), discard(asked)
     family = _families(met, candidates, measure).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     discard(met)
     free_shuffles(docs.sparkSession)
 
     # The families' members, in chunks by the hash of their id; every chunk also gets the family's first members.
     some = [F.min("rep"), *[F.min_by("rep", F.xxhash64("rep", F.lit(i))) for i in range(1, FIRST)]]
-    counts = family.groupBy("family").agg(F.count("*").alias("members"), F.array(*some).alias("first"))
-    placed = family.join(counts, "family").withColumn("chunks", F.ceil(F.col("members") / CHUNK).cast("int"))
+    chunks = lambda n: F.ceil(F.greatest(F.count("*") / CHUNK, F.sum(n) / CHUNK_SHINGLES)).cast("int")
+    family = family.join(candidates.select("rep", "n"), "rep")
+    counts = family.groupBy("family").agg(chunks("n").alias("chunks"), F.array(*some).alias("first"))
+    placed = family.join(counts, "family")
     own = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("chunks")).cast("int")
     everywhere = F.when(F.array_contains("first", F.col("rep")), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.col("own")))
-    placed = placed.withColumn("own", own).select("rep", "family", "chunks", "own", everywhere.alias("everywhere"))
-    members = materialise(placed.join(candidates.select("rep", "text"), "rep").withColumnRenamed("rep", "doc_id"), "members")
+    placed = placed.withColumn("own", own).select("rep", "n", "family", "chunks", "own", everywhere.alias("everywhere"))
+    members = materialise(placed.join(candidates.select("rep", "n", "text"), ["rep", "n"]).withColumnRenamed("rep", "doc_id"), "members")
     discard(candidates)
     free_shuffles(docs.sparkSession)
     alone = members.withColumn("chunk", F.explode("everywhere")).withColumns({"component": F.col("doc_id"), "row": F.lit(True)})
@@ -516,7 +536,7 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     split = materialise(placed.join(largest, "family"), "split")
     if split.take(1):
         outside = split.filter("component <> largest")
-        blocks = outside.groupBy("family").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("blocks"))
+        blocks = outside.groupBy("family").agg(chunks("n").alias("blocks"))
         block = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("blocks")).cast("int")
         to_meet = split.join(blocks, "family").withColumn("chunk", F.col("own")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("row", F.lit(False))
         meeting = outside.join(blocks, "family").withColumn("block", block).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("row", F.lit(True))
