@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,24 @@ def discard(df: DataFrame | None) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def bloom_joins(spark: SparkSession) -> Iterator[None]:
+    """Joins planned meanwhile send only rows through a shuffle that a Bloom filter of the smaller side's keys lets through.
+
+    Spark does this by itself for sides of the default sizes; here it holds from the first byte. The filter has 8 MB at
+    most (spark.sql.optimizer.runtime.bloomFilter.maxNumBits): beyond that it lets more rows through, never fewer."""
+    names = ("applicationSideScanSizeThreshold", "creationSideThreshold")
+    keys = [f"spark.sql.optimizer.runtime.bloomFilter.{n}" for n in names]
+    before = [spark.conf.get(k) for k in keys]
+    for key, value in zip(keys, ("0", "256m"), strict=True):
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in zip(keys, before, strict=True):
+            spark.conf.set(key, value)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps that are written: it does so when the driver collects its garbage."""
     gc.collect()

@@ -44,14 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import behind_plain_names, discard, free_shuffles, id_text_batches, materialise
+from tessera.llm.common import behind_plain_names, bloom_joins, discard, free_shuffles, id_text_batches, materialise
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import U64, mix, shingle_sets
 
 #: Documents of a key that is looked up by everyone; see above.
 FREQUENT = 16
 #: Keys that a task holds before it passes them on, and keys that a bucket is planned for.
-HELD_KEYS, BUCKET_KEYS = 600_000, 500_000
+HELD_KEYS, BUCKET_KEYS = 250_000, 500_000
 LEAST_BUCKETS = 2048
 #: A bucket's record: 38 bits of the key, the parity of its band, whether the document is thin; then the document's node.
 RECORD = np.dtype([("low", "<u4"), ("high", "u1"), ("node", "<i8")])
@@ -474,6 +474,7 @@ def _families(met: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
         again = beyond.join(open_keys, "key").join(order, "node").repartition("key").sortWithinPartitions("key", "order", "node").select("key", "node")
         then, shared = shared, materialise(again.mapInArrow(_shared_keys(hubs), "key long, node long, hub long, place long"), "shared")
         discard(then)
+        free_shuffles(met.sparkSession)
         if not shared.take(1):
             discard(shared)
             break
@@ -504,10 +505,13 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     repeated = _repeated(docs.filter("doc_id is not null"), nodes.agg(F.sum("n")).first()[0] or 0, measure)
     kept, heavy = _partners(repeated, nodes, measure)
     discard(repeated)
+    free_shuffles(docs.sparkSession)
     asked = materialise(kept.select("node").distinct().join(nodes.select("node", "rep", "n"), "node"), "asked")  # its size is known then
-    candidates = materialise(_with_texts(docs, asked, measure), "candidates")
+    with bloom_joins(docs.sparkSession):
+        candidates = materialise(_with_texts(docs, asked.filter("n > 0"), measure), "candidates")  # of which a filter can be made
     free_shuffles(docs.sparkSession)
     met = _meetings(kept, heavy, candidates, measure)
+    free_shuffles(docs.sparkSession)
     discard(kept), discard(heavy), discard(asked)
     family = _families(met, candidates, measure).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     discard(met)
@@ -557,10 +561,13 @@ def components(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
 
 def one_of_each(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
     """`docs` without the documents that are linked to one of smaller doc_id; of rows with one doc_id, one stays."""
-    found = components(docs, measure).filter("doc_id <> component_id").select("doc_id").distinct()
+    found = materialise(components(docs, measure).filter("doc_id <> component_id").select("doc_id").distinct(), "linked")
+    several = materialise(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "several")
 
     def first_rows(rows: DataFrame) -> DataFrame:
         w = W.partitionBy("doc_id").orderBy(F.xxhash64(*rows.columns))
-        return rows.join(found, "doc_id", "left_anti").withColumn("nth", F.row_number().over(w)).filter("nth = 1 or doc_id is null")
+        left = rows.join(found, "doc_id", "left_anti")
+        ranked = left.join(several, "doc_id", "left_semi").withColumn("nth", F.row_number().over(w)).filter("nth = 1").drop("nth")
+        return left.join(several, "doc_id", "left_anti").unionByName(ranked)  # most rows need no order
 
     return behind_plain_names(docs, first_rows, ["nth"])

@@ -23,7 +23,7 @@ from tessera.llm.common import held_out, id_text_batches, labelled_sample
 
 BLOCK, WIDTH, FILTERS = 8, 8, 24
 #: Bytes convolved at once; bounds memory whatever the length of a document.
-PIECE = 1 << 19
+PIECE = 1 << 17
 #: Labelled rows that a model is fitted on, at most.
 SAMPLE = 3000
 THRESHOLD = 0.3

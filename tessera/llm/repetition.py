@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: Words sorted together; bounds the memory of a batch of ordinary documents.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 150_000
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat"]
 RESULT = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS] + [T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())])

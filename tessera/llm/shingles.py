@@ -13,7 +13,7 @@ U64 = np.uint64
 #: Fixed odd multipliers of the hashes: of bytes in a word, and of the words in a shingle.
 BASE, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Bytes hashed at once; a longer document is hashed on its own.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _powers: dict[int, np.ndarray] = {}
 

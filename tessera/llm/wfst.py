@@ -35,7 +35,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Entries of a worker's tables; beyond that they start anew. They bound memory, never results.
-CACHE_SEGMENTS, CACHE_NEIGHBOURS = 600_000, 2_000_000
+CACHE_SEGMENTS, CACHE_NEIGHBOURS = 400_000, 600_000
 START = -1
 
 
