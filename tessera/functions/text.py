@@ -273,35 +273,42 @@ def snippet(text: Column, keyword: Column, window: int) -> Column:
     return F.when((at > 0) & (keyword != ""), _squeeze(cut)).otherwise(F.lit(""))
 
 
+def _first_distinct(windows: Column, key, shown, most: int) -> Column:
+    """The first `most` of the non-blank texts with distinct keys, each as shown: one pass that holds only what it found."""
+    nothing = F.array().cast("array<string>")
+    add = lambda acc, w: F.struct(F.array_append(acc["keys"], key(w)).alias("keys"), F.array_append(acc["out"], shown(w)).alias("out"))
+    wanted = lambda acc, w: (w != "") & (F.size(acc["out"]) < most) & ~F.array_contains(acc["keys"], key(w))
+    return F.aggregate(windows, F.struct(nothing.alias("keys"), nothing.alias("out")), lambda acc, w: F.when(wanted(acc, w), add(acc, w)).otherwise(acc), lambda acc: acc["out"])
+
+
 def sentence_windows(text: Column, token: Column, most: int = 6, width: int = 1400) -> Column:
-    """Each sentence that holds the token with its neighbours, distinct in any letter case."""
-    parts = F.split(or_empty(text), r"(?<=[.!?。；;\n])")
+    """Each sentence that holds the token with its neighbours, distinct in any letter case.
+
+    Sentences are split once; every one carries its neighbours before the hits are kept."""
+    parts = F.transform(F.split(or_empty(text), r"(?<=[.!?。；;\n])"), F.trim)
     pattern = token_regex(token)
-    hits = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: F.rlike(F.element_at(parts, i.cast("int")), pattern))
-    merged = F.transform(
-        hits,
-        lambda i: norm_text_doc(
-            F.array_join(F.filter(F.transform(F.slice(parts, F.greatest(i - 1, F.lit(1)).cast("int"), F.when(i > 1, 3).otherwise(2)), lambda x: F.trim(x)), lambda s: F.trim(s) != ""), " ")
-        ),
-    )
-    windows = F.filter(merged, lambda s: s != "")
-    first = F.filter(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(windows), F.lit(1))), lambda i: F.struct(i.alias("i"), F.get(windows, (i - 1).cast("int")).alias("w"))),
-        lambda x: x["w"].isNotNull() & (F.array_position(F.transform(windows, F.lower), F.lower(x["w"])) == x["i"]),
-    )
-    found = F.slice(F.transform(first, lambda x: F.substring(x["w"], 1, width)), 1, most)
+    none = F.array(F.lit(""))
+    beside = F.arrays_zip(F.concat(none, parts).alias("before"), parts.alias("own"), F.concat(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), none).alias("after"))
+    hits = F.filter(beside, lambda x: x["own"].isNotNull() & F.rlike(x["own"], pattern))
+    merged = F.transform(hits, lambda x: norm_text_doc(F.concat_ws(" ", *[F.nullif(x[c], F.lit("")) for c in ("before", "own", "after")])))
+    found = _first_distinct(merged, F.lower, lambda w: F.substring(w, 1, width), most)
     return F.when(pattern.isNull(), F.array().cast("array<string>")).otherwise(found)
 
 
 def span_windows(text: Column, token: Column, most: int = 6, radius: int = 300) -> Column:
-    """The text around each occurrence of the token, up to `radius` characters on both sides, distinct."""
+    """The text around each occurrence of the token, up to `radius` characters on both sides, distinct.
+
+    One pass over the pieces between occurrences with a running offset, until `most` windows are found."""
     t, pattern = or_empty(text), token_regex(token)
     pieces = F.split(t, pattern)
-    # the start of occurrence k: the pieces before it and k - 1 tokens
     size = F.length(norm_text_doc(token))
-    starts = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1))),
-        lambda k: F.aggregate(F.slice(pieces, 1, k.cast("int")), F.lit(0), lambda a, p: a + F.length(p)) + (k.cast("int") - 1) * size,
-    )
-    windows = F.transform(starts, lambda a: norm_text_doc(F.substring(t, F.greatest(a - radius, F.lit(0)) + 1, F.least(a, F.lit(radius)) + size + radius)))
-    return F.when(pattern.isNull() | (F.size(pieces) < 2), F.array().cast("array<string>")).otherwise(F.slice(F.array_distinct(windows), 1, most))
+    window = lambda a: norm_text_doc(F.substring(t, F.greatest(a - radius, F.lit(0)) + 1, F.least(a, F.lit(radius)) + size + radius))
+
+    def step(acc: Column, piece: Column) -> Column:
+        at = acc["at"] + F.length(piece)
+        found = F.when(F.size(acc["out"]) < most, F.array_union(acc["out"], F.array(window(at)))).otherwise(acc["out"])
+        return F.struct((at + size).alias("at"), found.alias("out"))
+
+    before_tokens = F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    found = F.aggregate(before_tokens, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: acc["out"])
+    return F.when(pattern.isNull(), F.array().cast("array<string>")).otherwise(found)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed
@@ -145,12 +145,21 @@ def density_of_keys(explicit: Column, slot: Column, phase_: Column, liquid: Colu
     )
 
 
+def with_unit_names(rows: DataFrame, unit: str) -> DataFrame:
+    """`rows` with unit_family and canonical_unit. Each distinct spelling is normalised once and joined back: units are few,
+    and the ladder of `normalize_unit` must not be written out wherever a later expression reads its result."""
+    known = rows.select(F.col(unit).alias("__unit")).distinct().withColumn("__u", normalize_unit(F.col("__unit")))
+    joined = rows.join(known, F.col(unit).eqNullSafe(F.col("__unit")), "left")
+    return joined.withColumns({"unit_family": F.col("__u.family"), "canonical_unit": F.col("__u.unit")}).drop("__unit", "__u")
+
+
 #: Units of a mass concentration that make one weight percent at density 1.
 MASS_DIVISOR = {"g/L": 10.0, "mg/L": 1e4, "ug/L": 1e7, "ng/L": 1e10, "mg/mL": 10.0, "ug/mL": 1e4}
 
 
 def weight_percent(value: Column, family: Column, unit: Column, percent: Column, phase_: Column, slot: Column, mw: Column, rho: Column, rho_solute: Column, assumed: Column) -> Column:
-    """struct(wt, status, formula) of a parsed value; `family` and `unit` as normalize_unit gives them, `percent` the type of a bare percent."""
+    """struct(wt, status, formula) of a parsed value; `family` and `unit` are plain
+    columns of what normalize_unit gives (see with_unit_names), `percent` the type of a bare percent."""
     bare = family == "percent_ambiguous"
     fam = F.when(bare, lookup(percent, {"WT_PERCENT": "mass_fraction", "WV_PERCENT": "mass_volume_percent", "VOL_PERCENT": "volume_fraction"})).otherwise(family)
     u = F.when(bare, lookup(percent, {"WT_PERCENT": "wt%", "WV_PERCENT": "w/v%", "VOL_PERCENT": "v/v%"})).otherwise(unit)

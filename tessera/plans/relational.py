@@ -99,10 +99,10 @@ def j_lineage_attach(spark, sf_dir):
     return lineage.attach(entities(spark, sf_dir).select("entity", "name"), "name", lineage.name_index(long))
 
 
-@query("j_lineage_match", f"WITH {LONG}, {ENTITIES} SELECT entity, record, item FROM entities e LEFT JOIN long l ON lower(trim(e.name)) = l.key WHERE NOT list_contains(['n/a', '-'], e.name) AND entity % 40 = 0")
+@query("j_lineage_match", f"WITH {LONG}, {ENTITIES} SELECT entity, record, item FROM entities e LEFT JOIN long l ON lower(trim(e.name)) = l.key WHERE NOT list_contains(['n/a', '-'], e.name)")
 def j_lineage_match(spark, sf_dir):
     long = lineage.long_table(records(spark, sf_dir), "record", ["monomer", "additive"])
-    return lineage.match(entities(spark, sf_dir), "name", long).filter("entity % 40 = 0").select("entity", "record", "item")
+    return lineage.match(entities(spark, sf_dir), "name", long).select("entity", "record", "item")
 
 
 IDENTITY = [("MPD", "m-phenylenediamine", 108.14), ("TMC", "trimesoyl chloride", 265.48), ("sodium dodecyl sulfate", "sodium dodecyl sulfate", 288.38), ("NaCl", "sodium chloride", 58.44), ("camphorsulfonic-acid", "camphorsulfonic acid", 232.3), ("n hexane", "n-hexane", 86.18)]
@@ -118,11 +118,15 @@ def j_identity_build(spark, sf_dir):
     return identity(spark)
 
 
-@query("j_identity", f"""WITH {ENTITIES} SELECT entity, CASE name WHEN 'TMC' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'tmc' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'MPD' THEN 'IDENTITY_TABLE_REJECTED_SIMILARITY' WHEN 'NaCl' THEN 'UNRESOLVED'
-  WHEN 'sodium dodecyl sulfate' THEN 'IDENTITY_TABLE_EXACT' WHEN 'n-hexane' THEN 'IDENTITY_TABLE_EXACT' WHEN 'camphorsulfonic acid' THEN 'IDENTITY_TABLE_EXACT' WHEN 'DMF' THEN 'UNRESOLVED_ABBREVIATION' ELSE 'UNRESOLVED' END AS identity_source
-  FROM entities WHERE name NOT IN ('NaCl', '-', 'n/a')""")
+IDENTITY_SQL = "t(original, standard) AS (VALUES " + ", ".join(f"('{o}', '{n}')" for o, n, _ in IDENTITY) + ")"
+
+
+@query("j_identity", f"""WITH {ENTITIES}, {IDENTITY_SQL}, keys AS (SELECT lower(original) AS key, standard FROM t UNION SELECT lower(standard), standard FROM t)
+  SELECT entity, CASE WHEN standard IS NULL THEN CASE WHEN regexp_full_match(name, '[A-Z]{{2,5}}') THEN 'UNRESOLVED_ABBREVIATION' ELSE 'UNRESOLVED' END
+    WHEN lower(name) = lower(standard) THEN 'IDENTITY_TABLE_EXACT' ELSE 'IDENTITY_TABLE_REJECTED_SIMILARITY' END AS identity_source
+  FROM entities LEFT JOIN keys ON key = lower(trim(name))""")
 def j_identity(spark, sf_dir):
-    return lookup.resolve_identity(entities(spark, sf_dir).select("entity", "name"), "name", identity(spark)).filter("name not in ('NaCl', '-', 'n/a')").select("entity", "identity_source")
+    return lookup.resolve_identity(entities(spark, sf_dir).select("entity", "name"), "name", identity(spark)).select("entity", "identity_source")
 
 
 @query("j_identity_fuzzy", "WITH t(\"row\", original) AS (VALUES (0, 'small'), (1, 'ring'), (2, 'large blue')), n AS (SELECT DISTINCT p_name FROM part), m AS (SELECT p_name, original, \"row\", CASE WHEN lower(p_name) = original THEN 0 ELSE 1 END AS e FROM n, t WHERE contains(lower(p_name), original) OR contains(original, lower(p_name))) SELECT p_name, arg_min(original, e * 10 + \"row\") AS original FROM m GROUP BY p_name")
@@ -165,18 +169,18 @@ WORDS_SQL = "ix AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text
 ASKED_WORDS = [["the", "blue", "idiot"], ["que", "las"], ["der", "und", "die"], ["oncology", "membrane"], ["email", "com"]]
 
 
-@query("j_doc_score", f"WITH {WORDS_SQL}, {ENTITIES}, a AS (SELECT entity, unnest(({'[' + ', '.join(sql_list(x) for x in ASKED_WORDS) + ']'})[entity % 5 + 1]) AS word FROM entities WHERE entity < 200), s AS (SELECT entity, doc_id, count(*) * 12 AS score FROM a JOIN ix USING (word) GROUP BY ALL), r AS (SELECT entity AS \"row\", doc_id, score, row_number() OVER (PARTITION BY entity ORDER BY score DESC, doc_id) AS rank FROM s) SELECT * FROM r WHERE rank <= 8")
+@query("j_doc_score", f"WITH {WORDS_SQL}, {ENTITIES}, a AS (SELECT entity, unnest(({'[' + ', '.join(sql_list(x) for x in ASKED_WORDS) + ']'})[entity % 5 + 1]) AS word FROM entities), s AS (SELECT entity, doc_id, count(*) * 12 AS score FROM a JOIN ix USING (word) GROUP BY ALL), r AS (SELECT entity AS \"row\", doc_id, score, row_number() OVER (PARTITION BY entity ORDER BY score DESC, doc_id) AS rank FROM s) SELECT * FROM r WHERE rank <= 8")
 def j_doc_score(spark, sf_dir):
-    return documents.score(asked_words(spark, sf_dir).filter("entity < 200"), "entity", "keywords", documents.words(read(spark, sf_dir, "documents"), "doc_id", "text"))
+    return documents.score(asked_words(spark, sf_dir), "entity", "keywords", documents.words(read(spark, sf_dir, "documents"), "doc_id", "text"))
 
 
 def asked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities(spark, sf_dir).select("entity", F.element_at(F.array(*[F.array(*map(F.lit, x)) for x in ASKED_WORDS]), (c("entity") % 5 + 1).cast("int")).alias("keywords"))
 
 
-@query("j_doc_any", "WITH p AS (SELECT DISTINCT trim(regexp_replace(lower(substr(text, 1, 30)), '[^a-z0-9]+', ' ', 'g')) AS phrase FROM benchmark), d AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM documents) SELECT doc_id, phrase FROM d JOIN p ON contains(t, ' ' || phrase || ' ')")
+@query("j_doc_any", "WITH p AS (SELECT DISTINCT trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS phrase FROM benchmark), d AS (SELECT doc_id, ' ' || regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM documents) SELECT doc_id, phrase FROM d JOIN p ON contains(t, ' ' || phrase || ' ')")
 def j_doc_any(spark, sf_dir):
-    phrases = read(spark, sf_dir, "benchmark").select(F.trim(F.regexp_replace(F.lower(F.substring("text", 1, 30)), "[^a-z0-9]+", " ")).alias("p")).distinct()
+    phrases = read(spark, sf_dir, "benchmark").select(F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " ")).alias("p")).distinct()
     return documents.containing(read(spark, sf_dir, "documents"), "doc_id", "text", phrases, "p")
 
 
@@ -469,10 +473,10 @@ def wt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHEN 'M' THEN round(v * mw / (rho * 10.0::DOUBLE), 6) WHEN 'mM' THEN round(v / 1000.0::DOUBLE * mw / (rho * 10.0::DOUBLE), 6) WHEN 'ppm' THEN CASE WHEN wet THEN round(v / 10000.0::DOUBLE, 6) END WHEN 'ppb' THEN CASE WHEN wet THEN round(v / 1e7, 6) END
     WHEN 'w/v%' THEN round(v / rho, 6) WHEN '%' THEN round(v / rho, 6) WHEN 'g/kg' THEN round(v / 10.0::DOUBLE, 6) END AS wt FROM d""")
 def n_wt(spark, sf_dir):
-    u = units.normalize_unit(c("unit"))
+    rows = units.with_unit_names(wt_rows(spark, sf_dir), "unit")
     wet = c("slot").isin("aqueous_monomer", "test_nacl")
-    wt = units.weight_percent(c("v"), u["family"], u["unit"], F.lit("WV_PERCENT"), F.when(wet, "aqueous").otherwise("unknown"), c("slot"), c("mw"), F.when(wet, 1.0), F.lit(None).cast("double"), F.lit(True))
-    return wt_rows(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", wt["wt"].alias("wt"))
+    wt = units.weight_percent(c("v"), c("unit_family"), c("canonical_unit"), F.lit("WV_PERCENT"), F.when(wet, "aqueous").otherwise("unknown"), c("slot"), c("mw"), F.when(wet, 1.0), F.lit(None).cast("double"), F.lit(True))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", wt["wt"].alias("wt"))
 
 
 @query("n_remap", f"WITH {MEASURED} SELECT row_id, item_index, slot, status AS remapped FROM measured")
@@ -545,14 +549,20 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select(c("doc_id").alias("record"), "text", pick(["the", "idiot", "que", "zz9"], c("doc_id")).alias("token"))
 
 
-@query("s_sentences", None)
+@query("s_sentences", r"""WITH d AS (SELECT doc_id AS record, text, (['the', 'idiot', 'que', 'zz9'])[doc_id % 4 + 1] AS token FROM documents),
+  s AS (SELECT record, token, list_transform(regexp_extract_all(text, '[^.!?。；;\n]*[.!?。；;\n]|[^.!?。；;\n]+$'), lambda x: trim(x)) AS p FROM d),
+  h AS (SELECT record, p, unnest(list_filter(range(1, len(p) + 1), lambda i: regexp_matches(p[i], '(?i)(^|[^A-Za-z0-9])' || token || '([^A-Za-z0-9]|$)'))) AS i FROM s),
+  w AS (SELECT record, i, trim(regexp_replace(translate(array_to_string(list_filter(p[greatest(i - 1, 1):i + 1], lambda x: x <> ''), ' '), '（），；：｜–—−', '(),;:|---'), '\s+', ' ', 'g')) AS w FROM h),
+  f AS (SELECT record, i, w, row_number() OVER (PARTITION BY record, lower(w) ORDER BY i) AS n FROM w WHERE w <> ''),
+  g AS (SELECT record, list(substr(w, 1, 1400) ORDER BY i)[1:6] AS windows FROM f WHERE n = 1 GROUP BY record)
+  SELECT record, coalesce(windows, []) AS windows FROM d LEFT JOIN g USING (record)""")
 def s_sentences(spark, sf_dir):
-    return document_tokens(spark, sf_dir).select("record", F.size(text.sentence_windows(c("text"), c("token"))).alias("n"))
+    return document_tokens(spark, sf_dir).select("record", text.sentence_windows(c("text"), c("token")).alias("windows"))
 
 
 @query("s_spans", None)
 def s_spans(spark, sf_dir):
-    return document_tokens(spark, sf_dir).select("record", F.size(text.span_windows(c("text"), c("token"))).alias("n"))
+    return document_tokens(spark, sf_dir).select("record", text.span_windows(c("text"), c("token")).alias("windows"))
 
 
 @query("s_windows", None)
@@ -583,7 +593,8 @@ def src_jsonl_cache(spark, sf_dir):
 
 @query("src_sample", None)
 def src_sample(spark, sf_dir):
-    return read(spark, sf_dir, "part").orderBy(F.rand(42)).limit(80)
+    # by a hash of the key: the same rows however the table is partitioned
+    return read(spark, sf_dir, "part").orderBy(F.xxhash64("p_partkey", F.lit(42)), "p_partkey").limit(80)
 
 
 @query("j_density", None)
@@ -592,11 +603,11 @@ def j_density(spark, sf_dir):
     return cells(spark, sf_dir).select("id", d["solution"].alias("rho"), d["solute"].alias("rho_solute"), d["source"].alias("source"))
 
 
-@query("snk_sanitize", "SELECT doc_id, CASE WHEN length(t) > 200 THEN substr(t, 1, 152) || ' ...[truncated]' ELSE t END AS cell FROM (SELECT doc_id, regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g') AS t FROM documents)")
+@query("snk_sanitize", "SELECT doc_id, CASE WHEN length(t) > 32000 THEN substr(t, 1, 31952) || ' ...[truncated]' ELSE t END AS cell FROM (SELECT doc_id, regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g') AS t FROM documents)")
 def snk_sanitize(spark, sf_dir):
     from tessera.sources.sinks import sanitize
 
-    return read(spark, sf_dir, "documents").select("doc_id", sanitize(c("text"), 200).alias("cell"))
+    return read(spark, sf_dir, "documents").select("doc_id", sanitize(c("text")).alias("cell"))
 
 
 @query("snk_risk_scan", None)

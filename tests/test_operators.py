@@ -82,3 +82,45 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     micro_batch.append_new(stream, "k", out, str(tmp_path / "cp")).awaitTermination(60)
     got = {r["k"]: (r["parsed"], r["unit_family"]) for r in spark.read.parquet(out).collect()}
     assert got == {1: (0.5, "mass_concentration"), 2: (None, "unsupported")}
+
+
+def test_windows_equal_plain_ones(spark):
+    import random
+    import re
+
+    from tessera.functions import text as T
+
+    rng = random.Random(3)
+    words = ["the", "The", "than", "other", "x", "the-", "a,", "so.", "end!", "\n", "naïve", "the."]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 120))), "the") for i in range(60)] + [(90, "", "the"), (91, None, "the"), (92, "the the the", "a"), (93, "the", None), (94, "the", "the")]
+    squeeze = lambda t: re.sub(r"\s+", " ", t).strip()
+
+    def sentences(t):
+        parts = [p.strip(" ") for p in re.split(r"(?<=[.!?\n])", t)]
+        out, keys = [], set()
+        for i, p in enumerate(parts):
+            if re.search(r"(?i)(?<![A-Za-z0-9])the(?![A-Za-z0-9])", p):
+                w = squeeze(" ".join(x for x in parts[max(i - 1, 0) : i + 2] if x))
+                if w and w.lower() not in keys and len(out) < 6:
+                    keys.add(w.lower())
+                    out.append(w[:1400])
+        return out
+
+    def spans(t):
+        found = [squeeze(t[max(m.start() - 300, 0) : m.end() + 300]) for m in re.finditer(r"(?i)(?<![A-Za-z0-9])the(?![A-Za-z0-9])", t)]
+        return list(dict.fromkeys(found))[:6]
+
+    df = spark.createDataFrame(rows, "id int, text string, token string")
+    for r in df.select("id", "text", "token", T.sentence_windows(F.col("text"), F.col("token")).alias("s"), T.span_windows(F.col("text"), F.col("token")).alias("p")).collect():
+        told = r["token"] == "the"
+        assert r["s"] == (sentences(r["text"] or "") if told else []), r
+        assert r["p"] == (spans(r["text"] or "") if told else []), r
+
+
+def test_conversion_keeps_rows_with_nulls(spark):
+    rows = [("a", "aqueous_monomer", "TMC", "TMC", "0.5", "wt%", 1.0), ("b", "aqueous_monomer", "TMC", None, "0.5", "wt%", 1.0), ("c", "additive", "TMC", "TMC", "0.5", None, 1.0), ("d", "additive", None, "TMC", None, "g/L", None)]
+    df = spark.createDataFrame(rows, "row_id string, slot string, solute string, standard string, value string, unit string, mw double")
+    from tessera.operators import delivery
+
+    out = {r["row_id"]: r for r in delivery.convert(df).collect()}
+    assert sorted(out) == ["a", "b", "c", "d"] and out["a"]["wt"] == out["b"]["wt"] == 0.5

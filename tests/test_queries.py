@@ -29,6 +29,10 @@ def plain(value):
     return tuple(map(plain, value)) if isinstance(value, (list, tuple)) else value
 
 
+#: Scans for what the test tables need not hold.
+MAY_BE_EMPTY = {"snk_risk_scan", "j_abbr_not_known"}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
@@ -41,6 +45,9 @@ def test_query_equals_its_sql(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"st_delivery", "j_density", "n_density"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() >= 0
+    df = QUERIES[name](spark, SF)
+    rows = df.collect()
+    assert rows or name in MAY_BE_EMPTY
+    assert all(any(v is not None for v in r) for r in rows)
