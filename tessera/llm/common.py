@@ -16,7 +16,19 @@ from pyspark.sql import functions as F
 FOLDS = 5
 
 
+#: Rows of an Arrow batch: texts are long, and a batch lies in the executor, on its way and in the worker at once.
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ARROW_ROWS rows, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame, what: str = "step") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/tessera/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
