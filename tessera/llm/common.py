@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -129,6 +130,13 @@ def behind_plain_names(docs: DataFrame, step: Callable[[DataFrame], DataFrame],
 
 
 def id_text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Each Arrow batch with its `text` column as Python strings, null as ''."""
-    for batch in batches:
-        yield batch, [t or "" for t in batch.column("text").to_pylist()]
+    """Each Arrow batch with its `text` column as Python strings, null as ''.
+
+    A worker process lives on after its task: what this one has freed goes back to the machine at its end."""
+    try:
+        for batch in batches:
+            yield batch, [t or "" for t in batch.column("text").to_pylist()]
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # the C library of most Linux machines has it
+            trim(0)

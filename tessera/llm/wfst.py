@@ -21,6 +21,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from math import inf
 
 import numpy as np
@@ -34,8 +35,9 @@ from tessera.llm.common import id_text_batches
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Entries of a worker's tables; beyond that they start anew. They bound memory, never results.
-CACHE_SEGMENTS, CACHE_NEIGHBOURS = 400_000, 600_000
+#: Entries of a worker's tables; beyond that neighbours start anew, and of
+#: the segments the first quarter stays, as common ones are met early. They bound memory, never results.
+CACHE_SEGMENTS, CACHE_NEIGHBOURS = 150_000, 400_000
 START = -1
 
 
@@ -73,7 +75,7 @@ class Transducer:
         alone = "\n" if not any("\n" in p for p in self.ids if len(p) > 1) else ""
         # a newline that no longer piece contains is always a segment of its own
         self.segments = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+" if alone else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        self.neighbours: dict[int, bool] = {}  # by (last + 1) << 20 | piece
         self.found: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -93,7 +95,7 @@ class Transducer:
         """The neighbour machine's weight of writing `piece` after `last` (START at first)."""
         if not self.merges:
             return -self.scores[piece]
-        key = (last, piece)
+        key = (last + 1) << 20 | piece
         allowed = self.neighbours.get(key)
         if allowed is None:
             if len(self.neighbours) > CACHE_NEIGHBOURS:
@@ -137,7 +139,7 @@ class Transducer:
                 if piece == START:
                     came[j] = (i, self._fallback(segment[i]))
                     break
-                fits = allowed.get((before, piece))
+                fits = allowed.get((before + 1) << 20 | piece)
                 if fits or fits is None and weight(before, piece) < inf:
                     came[j] = (i, piece)
                     break
@@ -177,7 +179,8 @@ class Transducer:
         found = self.segments.findall(self.prefix + text.replace(" ", MARK))
         for segment in set(found).difference(self.found):
             if len(self.found) > CACHE_SEGMENTS + len(found):
-                self.found = {s: self.found[s] for s in set(found) if s in self.found}
+                first = dict(islice(self.found.items(), CACHE_SEGMENTS // 4))
+                self.found = first | {s: self.found[s] for s in set(found) if s in self.found}
             self.found[segment] = np.array(self.shortest_path(segment), "<u4").tobytes()
         return b"".join(map(self.found.__getitem__, found))
 
