@@ -37,7 +37,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Entries of a worker's tables; beyond that neighbours start anew, and of
 #: the segments the first quarter stays, as common ones are met early. They bound memory, never results.
-CACHE_SEGMENTS, CACHE_NEIGHBOURS = 150_000, 400_000
+CACHE_SEGMENTS, CACHE_NEIGHBOURS = 300_000, 600_000
 START = -1
 
 
