@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, dac, edit_counts, lm_score, mixing, parity_join, quality_cnn, repetition, url_filter, wfst
+from tessera.llm import anagram_join, ann, dac, edit_counts, lm_score, merkle, mixing, parity_join, quality_cnn, repetition, simhash_join, url_filter, wfst
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,9 +72,25 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wfst.digest(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op11_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anagram_join.vendor_clients(table(spark, sf_dir, "clients"), table(spark, sf_dir, "vendors"), 2)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"), merkle.every_third())
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_join.components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": url_filter.ORACLE_SQL}
+    return {
+        "op2_url_filters": url_filter.ORACLE_SQL,
+        "op11_name_join": anagram_join.ORACLE_SQL,
+        "op12_merkle_manifest": merkle.oracle_sql(anagram_join.sql_crc("CAST(doc_id AS VARCHAR)")),
+    }

@@ -20,11 +20,14 @@ COLUMNS = {
     "op4_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
     "op6_ngram_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op8_token_binary": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11_name_join": ["vendor_id", "distance", "n_clients", "first_client_id", "clients_crc"],
+    "op12_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op13_simhash_near_dedup": ["doc_id", "fingerprint", "component_id"],
 }
 
 
 def test_every_query_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
