@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import discard, materialise
 
 #: Children of a parent, and characters of a digest (fixed values).
 FAN, DIGEST = 8, 64
@@ -46,17 +46,20 @@ def leaf(*values: Column) -> Column:
 
 
 def _ranked(rows: DataFrame, tree: str, order: list[Column], what: str) -> DataFrame:
-    """`rows` with pos (from 0) in their tree and n, its rows; `tree` is never null."""
+    """`rows`, written, with pos (from 0) in their tree and n, its rows; `tree` is never null."""
     keys = [F.col(tree), *order]
     row = F.monotonically_increasing_id()  # of a sorted partition, written at once: the partition and the row's number in it
     spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__row", row).withColumn("__part", F.shiftright("__row", 33))
-    numbered = materialise(spread, what)
+    numbered = materialise(spread, "numbered")
     shares = numbered.groupBy(tree, "__part").agg(F.min("__row").alias("__first"), F.count("*").alias("__count"))
     before = W.partitionBy(tree).orderBy("__part")  # a row for each partition
     placed = shares.select(
         tree, "__part", "__first", F.sum("__count").over(before).alias("__until"), "__count", F.sum("__count").over(W.partitionBy(tree)).alias("n")
     ).withColumn("__shift", F.col("__until") - F.col("__count") - F.col("__first"))
-    return numbered.join(placed.select(tree, "__part", "__shift", "n"), [tree, "__part"]).withColumn("pos", F.col("__row") + F.col("__shift")).drop("__row", "__part", "__shift")
+    found = numbered.join(placed.select(tree, "__part", "__shift", "n"), [tree, "__part"]).withColumn("pos", F.col("__row") + F.col("__shift")).drop("__row", "__part", "__shift")
+    out = materialise(found, what)
+    discard(numbered)
+    return out
 
 
 def _grown(leaves: DataFrame) -> list[DataFrame]:
@@ -79,14 +82,16 @@ def _tops(leaves: DataFrame, levels: list[DataFrame]) -> DataFrame:
 
 
 def _with_paths(leaves: DataFrame, levels: list[DataFrame], above: DataFrame | None) -> DataFrame:
-    """`leaves` with their path up to the top of their tree, and on along that of `above` (tree, path)."""
+    """`leaves` with their path up to the top of their tree, and on along that of `above` (tree, path and what else a tree hands down to its leaves)."""
+    handed = [] if above is None else [c for c in above.columns if c not in ("tree", "path")]
     parents: DataFrame | None = None
     for here in [*reversed(levels), leaves]:
         tops = here.filter("n = 1")
         out = tops.withColumn("path", F.array().cast(PATH)) if above is None else tops.join(above, "tree")
         if parents is not None:
-            up = parents.select(F.col("tree").alias("__tree"), F.col("pos").alias("__pos"), F.col("preimage").alias("__preimage"), F.col("path").alias("__above"))
-            lower = here.filter("n > 1").join(up, (F.col("tree") == F.col("__tree")) & (F.floor(F.col("pos") / FAN) == F.col("__pos")))
+            up = parents.select(F.col("tree").alias("__tree"), F.col("pos").alias("__pos"), F.col("preimage").alias("__preimage"), F.col("path").alias("__above"), *handed)
+            # a merge join at every size: parents grow with the leaves
+            lower = here.filter("n > 1").join(up.hint("merge"), (F.col("tree") == F.col("__tree")) & (F.floor(F.col("pos") / FAN) == F.col("__pos")))
             step = F.struct(F.col("__preimage").alias("preimage"), (F.col("pos") % FAN).cast("int").alias("slot"))
             out = out.unionByName(lower.withColumn("path", F.concat(F.array(step), "__above")).drop("__tree", "__pos", "__preimage", "__above"))
         parents = out
@@ -108,12 +113,10 @@ class Manifest:
         return _tops(self.subroots, self.top_levels).select(F.col("digest").alias("root"))
 
     def paths(self) -> DataFrame:
-        """The leaves with path, subroot and root."""
-        tops = _with_paths(self.subroots, self.top_levels, None).select(F.col("name").alias("tree"), F.col("digest").alias("subroot"), "path")
+        """The leaves with path, subroot and root; these two come down with the paths, so no row is joined by its tree."""
         told = self.root().select("root", F.lit(1).alias("__one"))
-        above = tops.withColumn("__one", F.lit(1)).join(told, "__one").drop("__one").select("tree", F.struct("subroot", "root", "path").alias("__top"))
-        held = _with_paths(self.leaves, self.levels, above.select("tree", F.col("__top.path").alias("path")))
-        return held.join(above.select("tree", F.col("__top.subroot").alias("subroot"), F.col("__top.root").alias("root")), "tree")
+        tops = _with_paths(self.subroots, self.top_levels, None).select(F.col("name").alias("tree"), F.col("digest").alias("subroot"), "path", F.lit(1).alias("__one"))
+        return _with_paths(self.leaves, self.levels, materialise(tops.join(told, "__one").drop("__one"), "tops"))
 
     def write(self, path: str) -> None:
         """The manifest as Parquet: leaves, parents (level from 1) and top_parents, and the root."""
@@ -144,10 +147,10 @@ def read(spark: SparkSession, path: str) -> Manifest:
 def build(rows: DataFrame, tree: Column, order: list[str]) -> Manifest:
     """The manifest of `rows`, which have a digest column: trees by `tree` (its nulls are one), leaves ascending by the columns of `order`, then by digest."""
     name = F.coalesce(F.concat(F.lit("="), tree.cast("string")), F.lit("-"))  # - sorts before =
-    leaves = materialise(_ranked(rows.withColumn("tree", name), "tree", [*map(F.col, order), F.col("digest")], "numbered"), "leaves")
+    leaves = _ranked(rows.withColumn("tree", name), "tree", [*map(F.col, order), F.col("digest")], "leaves")
     levels = _grown(leaves)
     named = _tops(leaves, levels).select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest")
-    subroots = materialise(_ranked(named, "tree", [F.col("name")], "numbered"), "subroots")
+    subroots = _ranked(named, "tree", [F.col("name")], "subroots")
     return Manifest(leaves, levels, subroots, _grown(subroots))
 
 
