@@ -88,22 +88,27 @@ BAD_CANDIDATE_PHRASES = [
     "treated with", "blended with", "washing", "rinsing", "filtration", "centrifugation", "sonication", "annealing", "drying", "coating the", "casting the",
     "spinning the", "heating the",
 ]
-CANDIDATE_BAD_STARTS = (
-    r"^(?:(?:and|or|but|also|then|yet|nor|so|if|followed|detected|reported|modified|coated|immersed|dissolved|mixed|added|placed|soaked|dipped|treated|blended|combined|"
-    r"consisting|composed|derived|resulting|attributed|prepared|obtained|used|described|observed)\b|(?:the|a|an|this|these|those|its|their)\s+\w+\s+(?:is|was|were|are|has|had|have)\b)"
-)
-CANDIDATE_BAD_PARTS = (
-    r"\b(?:into|onto|from|between|during|after|before|upon|through)\s+the\b|\b(?:was|were|is|are|has|had|have|been|being)\s+\w+ed\b|"
-    r"\b\d+(?:\.\d+)?\s*(?:%|wt|vol|mol|mg|g/l|ml|min|hour|h|ppm|bar|mpa)\b"
-)
+# rules for candidates in lower case, one entry a rule
+CANDIDATE_BAD_STARTS = [
+    r"^(and|or|but|also|then|yet|nor|so|if)\b",
+    r"^(followed|detected|reported|modified|coated|immersed|dissolved|mixed|added|placed|soaked|dipped|treated|blended|combined|consisting|composed|derived|resulting|"
+    r"attributed|prepared|obtained|used|described|observed)\b",
+    r"^(the|a|an|this|these|those|its|their)\s+\w+\s+(is|was|were|are|has|had|have)\b",
+]
+CANDIDATE_BAD_PARTS = [
+    r"\b(into|onto|from|between|during|after|before|upon|through)\s+the\b",
+    r"\b(was|were|is|are|has|had|have|been|being)\s+\w+ed\b",
+    r"\b\d+(\.\d+)?\s*(%|wt|vol|mol|mg|g/l|ml|min|hour|h|ppm|bar|mpa)\b",
+]
 DOI = r"(?i)\b10\.\d{4,9}/[-._;()/:A-Z0-9]+"
 UNRESOLVED = ["NO_HIT", "NO_SPECIFIC_CHEMICAL", "ABBR_EXPANDED_NO_HIT", "NOT_CHEMICAL_FROM_LLM", "CID_ONLY", "EMPTY_QUERY", "EMPTY_CANDIDATE"]
 
 # ---- fixed values: core names ----
-CORE_PREFIXES = (
-    r"(?i)^(?:(?:aqueous|dilute|concentrated|saturated|anhydrous|dry|pure|fresh|degassed|filtered|commercial|standard|reagent[\s-]grade|analytical[\s-]grade|"
-    r"hplc[\s-]grade|acs[\s-]grade|technical[\s-]grade|cross[\s-]?linked|modified|functionalized|grafted|activated|treated|coated|doped|supported)\s+)*"
-)
+CORE_PREFIXES = [
+    r"(?:aqueous|dilute|concentrated|saturated|anhydrous|dry|pure|fresh|degassed|filtered)\s+",
+    r"(?:commercial|standard|reagent[\s-]grade|analytical[\s-]grade|hplc[\s-]grade|acs[\s-]grade|technical[\s-]grade)\s+",
+    r"(?:cross[\s-]?linked|modified|functionalized|grafted|activated|treated|coated|doped|supported)\s+",
+]
 CORE_SUFFIXES = (
     r"(?i)(?:\s*(?:solution|solutions|buffer|dispersion|suspension|emulsion|slurry|precursor|precursors|additive|additives|filler|fillers|membrane|membranes|substrate|"
     r"substrates|support|supports|composite|composites|material|materials|blend|blends|layer|layers|coating|coatings|film|films|thin[\s-]film|interlayer|interlayers|"
@@ -132,3 +137,151 @@ LIQUID_HINTS = [
     "ethanol", "methanol", "isopropanol", "glycerol", "triethylamine", "aniline", "toluene", "xylene", "hexane", "cyclohexane", "heptane", "octane", "isooctane",
     "acetone", "chloroform", "dichloromethane",
 ]
+
+# ---- fixed values: spellings under which a name is sought in a document ----
+ABBR_SEARCH = {
+    "NH2": ["amino", "amine"], "COOH": ["carboxyl", "carboxylic"], "SO3H": ["sulfonic", "sulfonated"], "GO": ["graphene oxide"],
+    "MOF": ["metal organic framework", "metal-organic framework"], "MSN": ["mesoporous silica nanoparticle", "mesoporous silica nanoparticles"],
+    "HNT": ["halloysite nanotube", "halloysite nanotubes"], "MCM": ["mcm-41"],
+}
+TOKEN_ALIASES = {
+    "AGO": ["aminated graphene oxide", "amine-functionalized graphene oxide"],
+    "HNT-COOH": ["carboxylated HNT", "carboxylated halloysite nanotube", "COOH-HNT"],
+    "NH2-MCM-41": ["amino-functionalized MCM-41", "amino MCM-41"],
+    "MCM-41-NH2": ["amino-functionalized MCM-41", "amino MCM-41"],
+}
+
+# ---- fixed values: names that a document defines for an abbreviation ----
+EXPANSION_BAD_PREFIXES = [
+    "and ", "or ", "but ", "also ", "then ", "yet ", "followed by ", "used as ", "reported that ", "detected in ", "modified by ", "coated with ", "immersed in ",
+    "role of ", "illustrates the structure of ", "as well as ", "which comprised of ", "somewhat ", "according to ", "based on ", "for test and ",
+]
+EXPANSION_BAD_PATTERNS = [
+    r"\b(role of|illustrates the structure of|different organic solvents|somewhat lower|weight loss|step between)\b",
+    r"^(and|or|but|also|then|which|where|when|while|that)\b",
+    r"^(reported|detected|modified|coated|immersed|used|followed|illustrates|selected|supplied|comprised)\b",
+    r"\b(usa|inc|ltd|corp|company|supplier|vendor|commercial)\b",
+]
+EXPANSION_LATE_PATTERNS = [
+    r"\b(followed|detected|reported|selected|supplied|illustrates|comprised|according|based)\b",
+    r"\b\d+(\.\d+)?\s*(%|wt|vol|mol|mg|g/l|ml|min|hour|h|ppm|bar|mpa)\b",
+]
+
+# ---- fixed values: queries that no registry should be asked; these come after BAD_CANDIDATE_PHRASES ----
+BAD_QUERY_PHRASES = [
+    "immersed", "solution", "dissolved", "stirred", "heated", "dried", "subsequently", "was added", "mixed with", "poured", "coated", "rinsed", "washed", "filtered",
+    "centrifuged", "sonicated", "purchased from", "supplied by", "obtained from", "provided by", "bought from", "donated by", "received from", "inc.", "inc,", "ltd.",
+    "ltd,", "co.", "co,", "corp.", "corp,", "company", "supplier", "manufacturer", "vendor", "distributor", "usa", "u.s.a", "u.s.a.", "china", "germany", "japan", "korea",
+    "india", "france", "uk", "canada", "taiwan", "singapore", "osmonics", "hydranautics", "dow chemical", "toray", "ge water", "nitto denko", "koch membrane", "filmtec",
+    "sepro", "sigma-aldrich", "sigma aldrich", "merck", "alfa aesar", "fisher scientific", "aladdin", "sinopharm", "acros", "aldrich", "fluka", "tci", "wt%", "vol%",
+    "mol/l", "mg/l", "g/l", "mol%", "respectively", "therefore", "however", "moreover", "furthermore", "the result", "was found", "it was", "can be", "which was",
+    "membrane was", "membrane is", "onto the", "into the", "in order to", "as shown", "as reported", "as described",
+]
+QUERY_BAD_PATTERNS = [
+    r"^(and|or|but|also|then|so|yet|nor|for|as|if|which|that)\b",
+    r"^(followed|detected|reported|modified|coated|immersed|dissolved|mixed|added|placed|soaked|dipped|treated|blended|combined|used|prepared|obtained|described|observed|"
+    r"showed|found|noted|maintained|enhanced|optimized|deposited)\b",
+    r"\b(role of|illustrates the structure of|different organic solvents|weight loss|step between|maintained at|deposited on|solution of|supported by|supplied by|"
+    r"purchased from)\b",
+]
+
+# ---- fixed values: what is cut from a query, one step after another ----
+QUERY_CUTS = [
+    r"^\"+|\"+$",
+    r"^(and|or|but|also|then|yet|nor)\s+",
+    r"^(solution of|aqueous solution of|mixture of|blend of|blend containing|containing|including|comprised of|consisting of|composed of|derived from|reported as|"
+    r"known as|described as)\s+",
+    r"^(the|a|an|this|these|those)\s+",
+    r"\b(modified|functionalized|used|prepared|based|supported|coated|grafted|loaded)\b.*$",
+    r"\((?:[^()]*(?:sigma|aldrich|hydranautics|osmonics|usa|china|japan|germany|supplier|company|corp|inc|ltd)[^()]*)\)",
+    r"\b(solvent|derivative|membrane|composite|material|monomer|polymer|product|grade)\b$",
+    r"\b(solution|mixture|blend)\b$",
+    r"\b(additive|modifier|filler|dopant|crosslinker|cross-linker|agent|reagent)\b$",
+    r"\b\d+(?:\.\d+)?\s*(?:wt%|vol%|mol%|mg/l|g/l|mmol|mol/l|m|mm|cm|nm|μm|um|kda|ppm|bar|mpa|°c|c)\b",
+    r"\b(purchased|obtained|supplied|provided|sourced|acquired)\s+(from|by)\b.*$",
+    r"\b(with|of)\s+(?:high\s+)?purity\b.*$",
+    r"\s*[≥≤><=]\s*\d+(?:\.\d+)?\s*%.*$",
+    r"\b(anhydrous|reagent\s+grade|analytical\s+grade|technical\s+grade|hplc\s+grade|acs\s+grade|laboratory\s+grade)\b.*$",
+    r"\b(stored|dried|distilled|purified|filtered|degassed)\s+(over|from|under|with)\b.*$",
+    r"\$[^$]*\$",
+    r"\s*#.*$",
+    r"\(\s*\d+(?:\.\d+)?\s*%?\s*\)",
+    r"\s*[,;:]\s*$",
+]
+QUERY_CLAUSES = ["which", "that", "where", "while", "after", "before", "during"]
+
+# ---- fixed values: classes of names without a compound of their own, and signs of one ----
+MATERIAL_CLASSES = ["nanoparticle", "nanotube", "framework", "mcm-41", "mof", "graphene oxide", "quantum dots", "membrane", "composite", "polymer", "copolymer"]
+NOT_WORTH_ASKING = [
+    r"poly(?:mer|imide|amide|sulfone|ether|ethersulfone|vinylidene|acrylonitrile|carbonate|urethane|propylene|ethylene|styrene)",
+    r"copolymer|terpolymer|blend|nanocomposite|composite",
+    r"metal[\s-]organic\s+framework|mof|zif[\s-]\d+",
+    r"graphene\s+oxide|reduced\s+graphene|go\b",
+    r"carbon\s+nanotube|cnt|mwcnt|swcnt",
+    r"mesoporous\s+silica|mcm[\s-]41|sba[\s-]15|msp",
+    r"halloysite|nanotube|nanosheet|nanofiber|nanofiller|nanoparticle|nano",
+    r"membrane\b|substrate\b|support\b|matrix\b|framework\b",
+    r"commercial\s+\w+|filmtec|espa|bw30|sw30|xle|tfc|ro\s+membrane|nf\s+membrane",
+    r"series\b|model\b|grade\b|product\b",
+]
+WORTH_ASKING = [
+    r"acid|amine|amide|aniline|imide|chloride|bromide|iodide|fluoride",
+    r"oxide(?!\s+membrane)|hydroxide|sulfonate|sulfate|phosphate|carbonate|nitrate|acetate",
+    r"piperazine|succinimide|pyrrolidone|pyrrolidine|imidazol",
+    r"alcohol|ketone|aldehyde|ester|ether(?!\s+sulfone)",
+    r"benzene|toluene|xylene|phenol|aniline|naphthalene|anthracene",
+    r"methane|ethane|propane|butane|pentane|hexane",
+    r"methanol|ethanol|propanol|butanol|glycol",
+    r"acetone|acetonitrile|dimethyl|diethyl",
+    r"sodium|potassium|lithium|magnesium|calcium|ammonium",
+    r"trimesoyl|phenylenediamine|terephthaloyl|isophthaloyl",
+]
+
+# ---- fixed values: patterns around a token, with the text that names it; score and rule ----
+NAME_TEXT = r"([A-Za-z][A-Za-z0-9,\-/()'\s]{3,120})"
+CONTEXT_RULES = [
+    (NAME_TEXT + r"\s*[\(（]\s*{token}\s*[\)）]", 0.97, "full(abbr)"),
+    (r"{token}\s*[\(（]\s*" + NAME_TEXT + r"\s*[\)）]", 0.95, "abbr(full)"),
+    (r"{token}\s*(?:=|:|stands for|means|refers to|denotes|is|was|were)\s*" + NAME_TEXT, 0.90, "definition"),
+    (NAME_TEXT + r"\s*,\s*(?:abbreviated as|denoted as|hereafter|herein|referred to as)\s+{token}", 0.84, "apposition"),
+    (r"{token}\s*,?\s*(?:known as|also called|also known as|named|i\.e\.,?)\s+" + NAME_TEXT, 0.82, "known_as"),
+    (NAME_TEXT + r"\s*[\(（][^)）]{0,20}{token}[^)）]{0,20}[\)）]", 0.78, "full(..abbr..)"),
+]
+CLASS_HINTS = (
+    r"(commercial|additive|modifier|polymer|copolymer|membrane|framework|nanoparticle|series|resin|material|nanosheet|mesoporous|functionalized|modified)"
+)
+
+# ---- fixed values: a concentration in running text; its value, then its unit, the first that fits ----
+TEXT_NUMBER = r"([-+]?\d*\.?\d+(?:[eE][-+]?\d+)?)\s*"
+TEXT_UNITS = [
+    r"%\s*\((?:w/v|m/v|w/w|v/v|wt)\)",
+    r"wt\s*/?\s*v%?", r"w\s*/?\s*v%?", r"v\s*/?\s*v%?",
+    r"vol\.?\s*%?", r"wt%", r"w/w%", r"m/m%", r"mass%",
+    r"g\s*/\s*100\s*mL", r"g\s*/\s*L", r"mg\s*/\s*L", r"ug\s*/\s*L", r"ng\s*/\s*L",
+    r"mg\s*/\s*mL", r"ug\s*/\s*mL",
+    r"mmol\s*/\s*L", r"mol\s*/\s*L",
+    r"mM\b",
+    r"(?<![A-Za-z0-9])M(?![A-Za-z])",
+    r"mL\s*/\s*L",
+    r"ppm", r"ppb", r"g\s*/\s*kg", r"mg\s*/\s*kg",
+    r"%",
+]
+#: words beside a concentration that speak of a purchase or a purity
+PURCHASE_WORDS = ["sigma", "aldrich", "purity", "purchased", "supplied by", ">", "≥"]
+TYPED_UNITS = ["w/v", "m/v", "v/v", "w/w", "wt"]
+
+# ---- fixed values: words in the names of columns ----
+SAMPLE_COLUMNS = ["样品", "sample", "filename", "file", "title", "题目", "文献标题"]
+TITLE_COLUMNS = ["title", "题目", "文献标题", "paper title"]
+FILE_COLUMNS = ["file", "filename", "文件名"]
+DENSITY_COLUMNS = ["density", "密度"]
+DENSITY_WORDS = {
+    "aqueous_monomer": ["aqueous", "water", "水相"],
+    "organic_monomer": ["organic", "oil", "油相"],
+    "additive": ["solution", "solvent", "溶液", "density", "密度"],
+    "modifier": ["solution", "solvent", "溶液", "density", "密度"],
+    "test_nacl": ["test", "nacl", "solution", "水相", "aqueous"],
+}
+SOLVENT_COLUMNS = ["solvent", "溶剂"]
+WATER_COLUMNS = ["aqueous", "water", "水相"]
+OIL_COLUMNS = ["organic", "oil", "油相"]

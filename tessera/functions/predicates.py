@@ -88,6 +88,15 @@ def word_count(c: Column) -> Column:
     return F.when(F.trim(c) == "", F.lit(0)).otherwise(F.size(F.split(F.trim(c), r"\s+")))
 
 
+def one_of_patterns(patterns: list[str]) -> str:
+    """A pattern that fits where any of these does."""
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
+def matches_any(c: Column, patterns: list[str]) -> Column:
+    return c.rlike(one_of_patterns(patterns))
+
+
 def is_bad_candidate(c: Column) -> Column:
     """A candidate phrase that cannot be a name: length, process words, verbs, quantities, brackets."""
     t = norm_text_doc(c)
@@ -97,9 +106,9 @@ def is_bad_candidate(c: Column) -> Column:
         | (word_count(low) > 8)
         | t.rlike(r"^[A-Z0-9\-_/]+$")
         | any_of(low, fixed.BAD_CANDIDATE_PHRASES)
-        | low.rlike(fixed.CANDIDATE_BAD_STARTS)
+        | matches_any(low, fixed.CANDIDATE_BAD_STARTS)
         | unbalanced(t)
-        | low.rlike(fixed.CANDIDATE_BAD_PARTS)
+        | matches_any(low, fixed.CANDIDATE_BAD_PARTS)
     )
 
 
@@ -154,10 +163,12 @@ CHEMISTRY_WORDS = [
 SAMPLE_WORDS = [
     "nanofiber", "nanofibers", "fiber", "fibers", "nanoparticle", "nanoparticles", "composite", "nanocomposite", "liposome", "liposomes", "material", "sample", "specimen",
 ]
-REFERENCE_NOISE = (
-    r"\bdoi\b|doi:|pmid|isbn|\bpp\.\s*\d|\bpage\b|\bpages\b|\bvol\.?\s*\d|issue\s*\d|fig\.?\s*\d|table\s*\d|\bref\.?\s*\d|references?\b|\[\d+\]|copyright|accepted\b|"
-    r"published\b|received\b|revised\b|available online|http|www\.|crossref|elsvier|wiley|springer"
-)
+# signs of references, pages and dates, in lower case
+REFERENCE_NOISE = [
+    r"\bdoi\b", r"doi:", r"pmid", r"isbn", r"\bpp\.\s*\d", r"\bpage\b", r"\bpages\b", r"\bvol\.?\s*\d", r"issue\s*\d", r"fig\.?\s*\d", r"table\s*\d", r"\bref\.?\s*\d",
+    r"references?\b", r"\[\d+\]", r"copyright", r"accepted\b", r"published\b", r"received\b", r"revised\b", r"available online", r"http", r"www\.", r"crossref",
+    r"elsvier", r"wiley", r"springer",
+]
 
 
 def is_model_code(c: Column) -> Column:
@@ -323,7 +334,7 @@ def is_material_like(c: Column) -> Column:
 def is_reference_noise(text: Column, start: Column, stop: Column, window: int = 100) -> Column:
     """References, pages or dates within `window` characters of the 0-based range [start, stop)."""
     low = F.greatest(start - window, F.lit(0))
-    return F.lower(F.substring(text, low + 1, stop + window - low)).rlike(REFERENCE_NOISE)
+    return F.lower(F.substring(text, low + 1, stop + window - low)).rlike(one_of_patterns(REFERENCE_NOISE))
 
 
 def should_judge(family: Column, phase: Column, standard: Column) -> Column:

@@ -15,6 +15,11 @@ def or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def bound(value: Column, step) -> Column:
+    """step(value), with the value computed once however often the step reads it (an expression is copied to each of its uses)."""
+    return F.get(F.transform(F.array(value), step), 0)
+
+
 def _squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
@@ -196,7 +201,7 @@ def core_name(c: Column) -> Column:
     t = F.trim(F.regexp_replace(s, r"\s*\([^)]*\)\s*$", ""))
     t = F.trim(F.regexp_replace(t, fixed.CORE_QUANTITY, ""))
     t = F.trim(F.regexp_replace(t, fixed.CORE_SUFFIXES, ""))
-    t = F.trim(F.regexp_replace(t, fixed.CORE_PREFIXES, ""))
+    t = F.trim(F.regexp_replace(t, "(?i)^(?:" + "|".join(fixed.CORE_PREFIXES) + ")*", ""))
     return F.when(t == "", s).otherwise(t)
 
 
@@ -273,7 +278,7 @@ def snippet(text: Column, keyword: Column, window: int) -> Column:
     return F.when((at > 0) & (keyword != ""), _squeeze(cut)).otherwise(F.lit(""))
 
 
-def _first_distinct(windows: Column, key, shown, most: int) -> Column:
+def first_distinct(windows: Column, key, shown, most: int) -> Column:
     """The first `most` of the non-blank texts with distinct keys, each as shown: one pass that holds only what it found."""
     nothing = F.array().cast("array<string>")
     add = lambda acc, w: F.struct(F.array_append(acc["keys"], key(w)).alias("keys"), F.array_append(acc["out"], shown(w)).alias("out"))
@@ -285,14 +290,17 @@ def sentence_windows(text: Column, token: Column, most: int = 6, width: int = 14
     """Each sentence that holds the token with its neighbours, distinct in any letter case.
 
     Sentences are split once; every one carries its neighbours before the hits are kept."""
-    parts = F.transform(F.split(or_empty(text), r"(?<=[.!?。；;\n])"), F.trim)
-    pattern = token_regex(token)
     none = F.array(F.lit(""))
-    beside = F.arrays_zip(F.concat(none, parts).alias("before"), parts.alias("own"), F.concat(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), none).alias("after"))
-    hits = F.filter(beside, lambda x: x["own"].isNotNull() & F.rlike(x["own"], pattern))
-    merged = F.transform(hits, lambda x: norm_text_doc(F.concat_ws(" ", *[F.nullif(x[c], F.lit("")) for c in ("before", "own", "after")])))
-    found = _first_distinct(merged, F.lower, lambda w: F.substring(w, 1, width), most)
-    return F.when(pattern.isNull(), F.array().cast("array<string>")).otherwise(found)
+
+    def windows(parts: Column, pattern: Column) -> Column:
+        beside = F.arrays_zip(F.concat(none, parts).alias("before"), parts.alias("own"), F.concat(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), none).alias("after"))
+        hits = F.filter(beside, lambda x: x["own"].isNotNull() & F.rlike(x["own"], pattern))
+        merged = F.transform(hits, lambda x: norm_text_doc(F.concat_ws(" ", *[F.nullif(x[c], F.lit("")) for c in ("before", "own", "after")])))
+        return first_distinct(merged, F.lower, lambda w: F.substring(w, 1, width), most)
+
+    parts = F.transform(F.split(or_empty(text), r"(?<=[.!?。；;\n])"), lambda x: F.trim(x))  # F.trim itself would take the index, too
+    found = bound(token_regex(token), lambda pattern: bound(parts, lambda p: windows(p, pattern)))
+    return F.when(token_regex(token).isNull(), F.array().cast("array<string>")).otherwise(found)
 
 
 def span_windows(text: Column, token: Column, most: int = 6, radius: int = 300) -> Column:

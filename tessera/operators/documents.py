@@ -6,45 +6,166 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed, text
+from tessera.operators import steps
 from tessera.operators.lookup import top_k
 
 
 def catalog(docs: DataFrame, doc_id: str, name: Column, content: str) -> DataFrame:
-    """doc_id, file_key, title_key, doi_key: the title is the first of 40 lines with 12 characters or more, the DOI the first in the text."""
+    """doc_id, file_key, stem_key, title_key, doi_key: the title is the first of 40 lines with 12 characters or more, the DOI the first in the text."""
     body = text.or_empty(F.col(content))
     lines = F.transform(F.slice(F.split(body, "\n"), 1, 40), lambda x: F.trim(F.regexp_replace(text.norm_text_doc(x), r"^[# ]+", "")))
     title = F.coalesce(F.get(F.filter(lines, lambda x: F.length(x) >= 12), 0), F.lit(""))
+    base = F.regexp_replace(text.or_empty(name), r"^.*/", "")
     return docs.select(
         F.col(doc_id).alias("doc_id"),
-        text.clean_key(name).alias("file_key"),
+        text.clean_key(base).alias("file_key"),
+        text.clean_key(_stem(base)).alias("stem_key"),
         text.clean_key(title).alias("title_key"),
         text.clean_key(F.regexp_extract(body, fixed.DOI, 0)).alias("doi_key"),
     )
 
 
-def candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, known: DataFrame) -> DataFrame:
-    """(row, doc_id, method): documents of each row in tiers DOI, file name, title; a document counts in its first tier.
-
-    The tiers are equi-joins on keys (a title on its first 60 characters), so they shuffle by key at any size; there is no
-    cross product. Every document of a key is a candidate; a title met by its start must not be over 60 / 0.3 characters."""
-    key = lambda c, n: F.when(F.length(text.clean_key(F.col(c))) >= n, text.clean_key(F.col(c)))
-    asked = rows.select(F.col(row_id).alias("row"), key(doi, 6).alias("doi_key"), key(file, 4).alias("file_key"), key(title, 12).alias("title_key"))
-    tiers = []
-    for n, (name, column) in enumerate((("doi", "doi_key"), ("filename", "file_key"), ("title_partial", "title_key"))):
-        short = (lambda c: F.substring(c, 1, 60)) if name == "title_partial" else (lambda c: c)
-        there = known.filter(F.length(column) >= 4).select(short(F.col(column)).alias("k"), "doc_id", F.length(column).alias("length"))
-        met = asked.select("row", short(F.col(column)).alias("k")).join(there, "k")
-        if name == "title_partial":
-            met = met.filter(F.length("k") >= 0.3 * F.col("length"))
-        tiers.append(met.select("row", "doc_id", F.lit(n).alias("tier"), F.lit(name).alias("method")))
-    every = tiers[0].unionAll(tiers[1]).unionAll(tiers[2])
-    return every.groupBy("row", "doc_id").agg(F.min_by("method", "tier").alias("method"))
+def _stem(base: Column) -> Column:
+    return F.regexp_replace(base, r"(?<=.)\.[^.]*$", "")
+
+
+def _marks(key: Column, least: int) -> Column:
+    """Hashes of a key's q-grams that are the smallest of a window of w neighbours, distinct; q + w - 1 is `least`.
+
+    A key of `least` characters or more that lies in another one has every window of its own there, so all its marks too,
+    and a key has only about 2 / (w + 1) as many marks as characters."""
+    q = (least + 2) // 2
+    w = least - q + 1
+    grams = lambda chars: F.transform(F.sequence(F.lit(1), F.size(chars) - q + 1), lambda i: F.xxhash64(F.slice(chars, i, q)))
+    smallest = lambda h: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - w + 1), lambda i: F.array_min(F.slice(h, i, w))))
+    return text.bound(text.bound(F.filter(F.split(key, ""), lambda x: x != ""), grams), smallest)
+
+
+def contained(parts: DataFrame, wholes: DataFrame, least: int, ratio: float = 0.0) -> DataFrame:
+    """(part, whole): distinct keys (column `key`, `least` characters or more) of `parts` inside those of `wholes`, with at least `ratio` of their length.
+
+    A part meets, in an equi-join, only the wholes that have the mark of its own that the fewest wholes have; a part with a
+    mark that no whole has is gone before that. The index holds numbers only (mark, hash of the key, its length);
+    lengths are compared there, texts where pairs are left. No pair of keys is formed that shares no mark."""
+    key, size = F.col("key"), F.length("key")
+    named = lambda df: df.filter(size >= least).select("key").distinct()
+    marked = lambda df, side: named(df).select(F.xxhash64("key").alias(side), size.alias(f"{side}_size"), F.explode(_marks(key, least)).alias("mark"))
+    large = marked(wholes, "w")
+    counts = large.groupBy("mark").agg(F.count("*").alias("n"))
+    small = marked(parts, "p").join(counts, "mark", "left")
+    rarest = small.groupBy("p", "p_size").agg(F.min_by("mark", F.struct(F.coalesce("n", F.lit(0)), "mark")).alias("mark"), F.min(F.coalesce("n", F.lit(0))).alias("n"))
+    fits = (F.col("p_size") <= F.col("w_size")) & (F.col("p_size") >= ratio * F.col("w_size"))
+    met = rarest.filter("n > 0").join(large, "mark").filter(fits).select("p", "w").distinct()
+    texts = lambda df, side, name: named(df).select(F.xxhash64("key").alias(side), key.alias(name))
+    both = met.join(texts(parts, "p", "part"), "p").join(texts(wholes, "w", "whole"), "w")
+    return both.filter(F.contains("whole", F.col("part"))).select("part", "whole")
+
+
+def either_way(asked: DataFrame, known: DataFrame, least: int, ratio: float = 0.0) -> DataFrame:
+    """(asked, known): keys of which one contains the other, the shorter at least `ratio` of the longer; equal keys once."""
+    inside = contained(asked, known, least, ratio).toDF("asked", "known")
+    around = contained(known, asked, least, ratio).select(F.col("whole").alias("asked"), F.col("part").alias("known")).filter("asked <> known")
+    return inside.unionAll(around)
+
+
+#: How much of the longer key the shorter one is, for DOIs, file names and titles; least lengths; characters of a title.
+DOI_RATIO, FILE_RATIO, TITLE_RATIO = 0.55, 0.6, 0.3
+DOI_LEAST, DOI_PART, FILE_LEAST, TITLE_LEAST, FUZZY_LEAST = 6, 8, 4, 12, 8
+TITLE_START = 60
+METHODS = ["doi", "filename", "filename_stem", "title_partial", "fuzzy"]
+
+
+def candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, known: DataFrame, folder: str | None = None) -> DataFrame:
+    """(row, doc_id, method, place): candidate documents of each row in order of `place`; a document counts where it is met first.
+
+    DOIs that are equal or contain one another, then file names (a name that a document has, else those that contain it or lie
+    in it), then starts of titles either way, then the one document that is most like the row's names and title and not
+    met before. Of documents with one key the first is taken. A null or blank cell asks nothing.
+
+    What is asked, the catalogue's keys and the sure candidates are read several times: they are written under `folder`."""
+    folder = folder or steps.shared_folder(rows.sparkSession, "candidates")
+    known = steps.written(known, f"{folder}/catalogue")
+    base = F.regexp_replace(text.or_empty(F.col(file)), r"^.*/", "")
+    files = F.array(text.clean_key(F.col(file)), text.clean_key(base), text.clean_key(_stem(base)))
+    start = F.substring(F.trim(F.regexp_replace(text.clean_key(F.col(title)), r"[^a-z0-9]+", " ")), 1, TITLE_START)
+    asked = rows.select(F.col(row_id).alias("row"), F.array_distinct(F.filter(files, lambda x: x != "")).alias("files"), start.alias("start"), text.clean_key(F.col(title)).alias("title"), text.clean_key(F.col(doi)).alias("doi"))
+    asked = steps.written(asked, f"{folder}/asked")
+    first = lambda df: df.filter("key <> ''").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    of = lambda *names: [known.select(F.col(n).alias("key"), "doc_id") for n in names]
+    dois, titles, names = first(of("doi_key")[0]), first(of("title_key")[0]), first(of("file_key", "stem_key")[0].unionAll(of("file_key", "stem_key")[1]))
+    place = lambda group, at: F.struct(F.lit(group).alias("group"), at.cast("int").alias("at"), F.col("doc_id"))
+    to_docs = lambda pairs, index: pairs.join(index.withColumnRenamed("key", "known"), "known").select("asked", "known", "doc_id")
+
+    by_doi = asked.filter(F.length("doi") >= DOI_LEAST).select("row", F.col("doi").alias("asked"))
+    doi_pairs = either_way(by_doi.select(F.col("asked").alias("key")), dois, DOI_PART, DOI_RATIO)
+    short = by_doi.filter(F.length("asked") < DOI_PART).join(dois, F.col("asked") == F.col("key")).select("row", "doc_id")
+    met = [by_doi.join(to_docs(doi_pairs, dois), "asked").select("row", "doc_id").unionAll(short).select("row", "doc_id", F.lit("doi").alias("method"), place(0, F.lit(0)).alias("place"))]
+
+    by_file = asked.select("row", F.posexplode("files").alias("at", "asked")).filter(F.length("asked") >= FILE_LEAST)
+    keys = by_file.select(F.col("asked").alias("key")).distinct()
+    exact = keys.join(names, "key").select(F.col("key").alias("asked"), "doc_id", F.lit("filename").alias("method"))
+    others = either_way(keys.join(names, "key", "left_anti"), names, FILE_LEAST - 1, FILE_RATIO)
+    named = exact.unionAll(to_docs(others, names).select("asked", "doc_id", F.lit("filename_stem").alias("method")))
+    met.append(by_file.join(named, "asked").select("row", "doc_id", "method", place(1, F.col("at")).alias("place")))
+
+    # pairs of all keys of eight characters or more, whatever their ratio: what is most like a row needs them, and titles are among them
+    by_title = asked.filter((F.length("title") >= TITLE_LEAST) & (F.length("start") >= TITLE_LEAST)).select("row", F.col("start").alias("asked"))
+    own = asked.select("row", F.explode(F.array_append("files", F.col("title"))).alias("asked")).filter(F.length("asked") >= FUZZY_LEAST).distinct()
+    fields = known.select("doc_id", F.explode(F.array_distinct(F.array("file_key", "stem_key", "title_key"))).alias("key")).filter(F.length("key") >= FUZZY_LEAST)
+    pairs = steps.written(either_way(own.select("asked").unionAll(by_title.select("asked")).toDF("key"), fields, FUZZY_LEAST), f"{folder}/pairs")
+    a, k = F.length("asked"), F.length("known")
+    titled = pairs.filter((k >= TITLE_LEAST) & (F.least(a, k) >= TITLE_RATIO * F.greatest(a, k)))
+    title_pairs = to_docs(titled, titles)
+    met.append(by_title.join(title_pairs, "asked").select("row", "doc_id", F.lit("title_partial").alias("method"), place(2, F.lit(0)).alias("place")))
+    sure = met[0].unionAll(met[1]).unionAll(met[2]).groupBy("row", "doc_id").agg(F.min_by("method", "place").alias("method"), F.min("place").alias("place"))
+    sure = steps.written(sure, f"{folder}/sure")
+    return sure.unionByName(_most_like(own, pairs, fields, sure).select("row", "doc_id", F.lit("fuzzy").alias("method"), place(3, F.lit(0)).alias("place")))
+
+
+def _most_like(own: DataFrame, pairs: DataFrame, fields: DataFrame, sure: DataFrame) -> DataFrame:
+    """(row, doc_id): the first of the documents with the longest key in common with a row (row, asked), without those that the row has met.
+
+    Of the documents of one key (doc_id, key) a row can have met as many as it has candidates, so each key offers one more than the
+    most that any row has (a number, all that reaches the driver)."""
+    scored = own.join(pairs, "asked").groupBy("row", "known").agg(F.max(F.least(F.length("asked"), F.length("known"))).alias("score"))
+    most = sure.groupBy("row").count().agg(F.max("count")).first()[0] or 0
+    offered = top_k(fields, [F.col("key")], [F.col("doc_id")], most + 1).select(F.col("key").alias("known"), "doc_id")
+    left = scored.join(offered, "known").join(sure.select("row", "doc_id"), ["row", "doc_id"], "left_anti")
+    return left.groupBy("row").agg(F.max_by("doc_id", F.struct(F.col("score"), -F.col("doc_id"))).alias("doc_id"))
 
 
 def first_candidate(found: DataFrame) -> DataFrame:
-    """(row, doc_id, method) of the best tier, then the smallest document."""
-    order = F.element_at(F.create_map(F.lit("doi"), F.lit(0), F.lit("filename"), F.lit(1), F.lit("title_partial"), F.lit(2)), F.col("method"))
-    return found.groupBy("row").agg(F.min_by(F.struct("doc_id", "method"), F.struct(order, F.col("doc_id"))).alias("x")).select("row", "x.doc_id", "x.method")
+    """(row, doc_id, method) of each row's first candidate."""
+    return found.groupBy("row").agg(F.min_by(F.struct("doc_id", "method"), F.col("place")).alias("x")).select("row", "x.doc_id", "x.method")
+
+
+def audited_document(rows: DataFrame, row_id: str, file: str, title: str, doi: str, docs: DataFrame, doc_id: str, name: str) -> DataFrame:
+    """(row, doc_id, method) of the document that an audit takes for each row, from file names alone; rows without one are left out.
+
+    The first document whose name is the DOI or holds it; else of the same name; else whose stem holds the row's stem or lies in it;
+    else whose name holds the first 40 characters of the title. Keys under three characters ask only on equality."""
+    low = lambda c: F.lower(text.norm_text_doc(c))
+    base = lambda c: F.regexp_replace(low(c), r"^.*/", "")
+    short = F.substring(F.trim(F.regexp_replace(low(F.col(title)), r"[^a-z0-9]+", " ")), 1, 40)
+    asked = rows.select(F.col(row_id).alias("row"), text.clean_doi(F.col(doi)).alias("doi"), base(F.col(file)).alias("base"), _stem(base(F.col(file))).alias("stem"), F.when(F.length(short) >= 12, short).otherwise("").alias("start"))
+    there = docs.select(F.col(doc_id).alias("doc_id"), low(F.col(name)).alias("member"), base(F.col(name)).alias("base"), _stem(base(F.col(name))).alias("stem"), text.clean_doi(base(F.col(name))).alias("doi"))
+    first = lambda c: there.filter(F.col(c) != "").groupBy(F.col(c).alias("key")).agg(F.min("doc_id").alias("doc_id"))
+    want = lambda c: asked.filter(F.col(c) != "").select("row", F.col(c).alias("asked"))
+    keys = lambda c: want(c).select(F.col("asked").alias("key"))
+    equal = lambda c: want(c).join(first(c), F.col("asked") == F.col("key")).select("row", "doc_id")
+    within = lambda pairs, c, index: want(c).join(pairs, "asked").join(first(index).withColumnRenamed("key", "known"), "known").select("row", "doc_id")
+    inside = lambda c: contained(keys(c), first("member"), 3).toDF("asked", "known")
+    tiers = [
+        (0, "doi", equal("doi").unionAll(within(inside("doi"), "doi", "member"))),
+        (1, "filename", equal("base")),
+        (2, "filename_stem", equal("stem").unionAll(within(either_way(keys("stem"), first("stem"), 3), "stem", "stem"))),
+        (3, "title_partial", within(inside("start"), "start", "member")),
+    ]
+    every = None
+    for at, method, found in tiers:
+        told = found.select("row", "doc_id", F.struct(F.lit(at).alias("tier"), "doc_id").alias("place"), F.lit(method).alias("method"))
+        every = told if every is None else every.unionAll(told)
+    return every.groupBy("row").agg(F.min_by(F.struct("doc_id", "method"), "place").alias("x")).select("row", "x.doc_id", "x.method")
 
 
 def words(docs: DataFrame, doc_id: str, content: str) -> DataFrame:
@@ -58,25 +179,33 @@ def score(asked: DataFrame, row_id: str, keywords: str, index: DataFrame, points
 
     With `names` (doc_id, name), file names come first: 60 points for a keyword in the name and 45 for one in its stem
     without separators; contents count for rows that no file name meets. Each distinct list of keywords is scored once.
-    Keywords meet documents through the inverted index, and file names on their substrings; only counts leave the join."""
+    Keywords meet documents through the inverted index, and file names by q-grams; only counts leave the join."""
     rows = asked.select(F.col(row_id).alias("row"), F.array_sort(F.array_distinct(F.col(keywords))).alias("list"))
     tried = rows.select("list").distinct().select("list", F.explode("list").alias("word"))
     scored = tried.join(index, "word").groupBy("list", "doc_id").agg((F.count("*") * points).alias("score"))
     if names is not None:
         stem = text.simplify_key(F.regexp_replace("name", r"\.[^.]*$", ""))
-        keys = ((F.lower("name"), text.norm_key(F.col("word")), 60), (stem, text.simplify_key(F.col("word")), 45))
-        hits = [tried.select("list", key.alias("part")).filter("part <> ''").join(names.select("doc_id", F.explode(_substrings(name)).alias("part")), "part").select("list", "doc_id", F.lit(n).cast("long").alias("n")) for name, key, n in keys]
-        named = hits[0].unionAll(hits[1]).groupBy("list", "doc_id").agg(F.sum("n").alias("score"))
+        ways = ((F.lower("name"), text.norm_key(F.col("word")), 60), (stem, text.simplify_key(F.col("word")), 45))
+        hits = None
+        for name, key, n in ways:
+            parts = tried.select("list", key.alias("part")).filter("part <> ''")
+            wholes = names.select("doc_id", name.alias("whole"))
+            pairs = _keyword_pairs(parts, wholes)
+            met = parts.join(pairs, "part").join(wholes, "whole").select("list", "doc_id", F.lit(n).cast("long").alias("n"))
+            hits = met if hits is None else hits.unionAll(met)
+        named = hits.groupBy("list", "doc_id").agg(F.sum("n").alias("score"))
         scored = named.unionByName(scored.join(named.select("list").distinct(), "list", "left_anti"))
     best = top_k(scored, [F.col("list")], [F.desc("score"), F.col("doc_id")], k)
     return rows.join(best, "list").select("row", "doc_id", "score", "rank")
 
 
-def _substrings(name: Column) -> Column:
-    """The distinct substrings of a name."""
-    n = F.length(name)
-    some = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda at: F.transform(F.sequence(F.lit(1), F.greatest(n - at + 1, F.lit(1))), lambda size: F.substr(name, at, size)))
-    return F.array_distinct(F.flatten(some))
+def _keyword_pairs(parts: DataFrame, wholes: DataFrame) -> DataFrame:
+    """(part, whole) of keywords inside names: by marks of three characters, keywords of one or two by their own length."""
+    keys, names = parts.select(F.col("part").alias("key")), wholes.select(F.col("whole").alias("key"))
+    out = contained(keys, names, 3)
+    for least in (1, 2):
+        out = out.unionAll(contained(keys.filter(F.length("key") == least), names, least))
+    return out
 
 
 def containing(docs: DataFrame, doc_id: str, content: str, phrases: DataFrame, phrase: str) -> DataFrame:

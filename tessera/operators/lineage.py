@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import split_components
 from tessera.functions.predicates import is_placeholder
 from tessera.functions.text import cell_text, match_key
+from tessera.operators.lookup import top_k
 
 
 def source_cells(records: DataFrame, record: str, columns: list[str]) -> DataFrame:
@@ -24,26 +25,55 @@ def long_table(records: DataFrame, record: str, columns: list[str]) -> DataFrame
     return items.select("record", "column", (F.col("at") + 1).alias("item"), "n_items", "name", match_key(F.col("name")).alias("key"))
 
 
+#: Records that a delivered cell lists at most; the counts beside it tell of all of them, and `name_records` has them all as rows.
+LISTED = 1000
+
+
+def name_records(long: DataFrame) -> DataFrame:
+    """(key, record): every record of each key once, as rows: a key of any size is many rows and never one value."""
+    return long.select("key", "record").distinct()
+
+
 def name_index(long: DataFrame) -> DataFrame:
-    """(key, records): the distinct records of each key in ascending order, between pipes."""
-    return long.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_set("record")), lambda x: x.cast("string")), "|").alias("records"))
+    """(key, n_items, n_records, first_record, last_record) of each key; a row a name, however many records it has."""
+    by_record = long.groupBy("key", "record").agg(F.count("*").alias("n"))
+    return by_record.groupBy("key").agg(F.sum("n").alias("n_items"), F.count("*").alias("n_records"), F.min("record").alias("first_record"), F.max("record").alias("last_record"))
+
 
+def listed(records: DataFrame, most: int = LISTED) -> DataFrame:
+    """(key, records): the first `most` records of each key in ascending order, between pipes, as a cell of a delivered table holds them."""
+    first = top_k(records, [F.col("key")], [F.col("record")], most)
+    return first.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list("record")), lambda x: x.cast("string")), "|").alias("records"))
 
-def attach(entities: DataFrame, name: str, index: DataFrame) -> DataFrame:
-    """Entities with the records of their key, '' without any."""
+
+def attach(entities: DataFrame, name: str, index: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Entities with the counts of their key's records (0 without any), and with `cells` of `listed` the cell, '' without any."""
     keyed = entities.withColumn("__key", match_key(cell_text(F.col(name))))
-    found = keyed.join(index.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
-    return found.withColumn("records", F.coalesce("records", F.lit("")))
+    found = keyed.join(index.withColumnRenamed("key", "__key"), "__key", "left")
+    if cells is not None:
+        found = found.join(cells.withColumnRenamed("key", "__key"), "__key", "left").withColumn("records", F.coalesce("records", F.lit("")))
+    return found.drop("__key").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_items", "n_records")})
+
 
+def match(entities: DataFrame, name: str, long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The matches of entities and items as classes: (entity columns and key) and (key, record, column, item, source_name).
 
-def match(entities: DataFrame, name: str, long: DataFrame) -> DataFrame:
-    """Entities joined with every item of their key; those without any keep nulls; placeholders are left out."""
+    Entities and items of one key all match one another; the pairs would grow with the product of both, so a key's items are rows
+    once, and its entities are rows once. Placeholders are left out; an entity whose key has no items matches nothing."""
     keyed = entities.filter(~is_placeholder(cell_text(F.col(name)))).withColumn("key", match_key(cell_text(F.col(name))))
-    return keyed.join(long.withColumnRenamed("name", "source_name"), "key", "left")
+    items = long.withColumnRenamed("name", "source_name").select("key", "record", "column", "item", "source_name")
+    return keyed, items.join(keyed.select("key").distinct(), "key", "left_semi")
+
+
+def matched(entities: DataFrame, name: str, long: DataFrame) -> DataFrame:
+    """Entities (placeholders left out) with how many items and records match them, and the first and last record; 0 and nulls without any."""
+    keyed, items = match(entities, name, long)
+    out = keyed.join(name_index(items), "key", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_items", "n_records")})
 
 
 def trace_summary(long: DataFrame, matched: DataFrame, entity: str) -> DataFrame:
     """(metric, value): items, distinct keys, entities, entities with a source."""
     a = long.agg(F.count("*").alias("items"), F.countDistinct("key").alias("keys"))
-    b = matched.agg(F.countDistinct(entity).alias("entities"), F.countDistinct(F.when(F.col("record").isNotNull(), F.col(entity))).alias("traced"))
+    b = matched.agg(F.countDistinct(entity).alias("entities"), F.countDistinct(F.when(F.col("n_records") > 0, F.col(entity))).alias("traced"))
     return a.join(b).selectExpr("stack(4, 'items', items, 'keys', keys, 'entities', entities, 'traced', traced) as (metric, value)")

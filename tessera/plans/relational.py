@@ -93,16 +93,27 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ joins
-@query("j_lineage_attach", f"WITH {LONG}, {ENTITIES}, ix AS (SELECT key, array_to_string(list_sort(list(DISTINCT record)), '|') AS records FROM long GROUP BY key) SELECT entity, name, coalesce(records, '') AS records FROM entities LEFT JOIN ix ON lower(trim(name)) = ix.key")
+INDEX = "ix AS (SELECT key, count(*) AS n_items, count(DISTINCT record) AS n_records, min(record) AS first_record, max(record) AS last_record FROM long GROUP BY key)"
+
+
+@query("j_lineage_attach", f"""WITH {LONG}, {ENTITIES}, {INDEX}, cell AS (SELECT key, array_to_string(list_sort(list(DISTINCT record))[1:1000], '|') AS records FROM long GROUP BY key)
+  SELECT entity, name, coalesce(n_items, 0) AS n_items, coalesce(n_records, 0) AS n_records, first_record, last_record, coalesce(records, '') AS records FROM entities LEFT JOIN ix ON lower(trim(name)) = ix.key LEFT JOIN cell ON cell.key = ix.key""")
 def j_lineage_attach(spark, sf_dir):
     long = lineage.long_table(records(spark, sf_dir), "record", ["monomer", "additive"])
-    return lineage.attach(entities(spark, sf_dir).select("entity", "name"), "name", lineage.name_index(long))
+    return lineage.attach(entities(spark, sf_dir).select("entity", "name"), "name", lineage.name_index(long), lineage.listed(lineage.name_records(long)))
 
 
-@query("j_lineage_match", f"WITH {LONG}, {ENTITIES} SELECT entity, record, item FROM entities e LEFT JOIN long l ON lower(trim(e.name)) = l.key WHERE NOT list_contains(['n/a', '-'], e.name)")
+@query("j_lineage_match", f"WITH {LONG}, {ENTITIES}, {INDEX} SELECT entity, coalesce(n_items, 0) AS n_items, coalesce(n_records, 0) AS n_records, first_record, last_record FROM entities LEFT JOIN ix ON lower(trim(name)) = ix.key WHERE NOT list_contains(['n/a', '-'], name)")
 def j_lineage_match(spark, sf_dir):
     long = lineage.long_table(records(spark, sf_dir), "record", ["monomer", "additive"])
-    return lineage.match(entities(spark, sf_dir), "name", long).select("entity", "record", "item")
+    return lineage.matched(entities(spark, sf_dir).select("entity", "name"), "name", long).select("entity", "n_items", "n_records", "first_record", "last_record")
+
+
+@query("j_lineage_items", f"WITH {LONG}, {ENTITIES} SELECT key, record, \"column\", item, name AS source_name FROM long WHERE key IN (SELECT lower(trim(name)) FROM entities WHERE NOT list_contains(['n/a', '-'], name))")
+def j_lineage_items(spark, sf_dir):
+    """The items that entities match, each once: with the entities' keys they are the whole match."""
+    long = lineage.long_table(records(spark, sf_dir), "record", ["monomer", "additive"])
+    return lineage.match(entities(spark, sf_dir).select("entity", "name"), "name", long)[1]
 
 
 IDENTITY = [("MPD", "m-phenylenediamine", 108.14), ("TMC", "trimesoyl chloride", 265.48), ("sodium dodecyl sulfate", "sodium dodecyl sulfate", 288.38), ("NaCl", "sodium chloride", 58.44), ("camphorsulfonic-acid", "camphorsulfonic acid", 232.3), ("n hexane", "n-hexane", 86.18)]
@@ -142,29 +153,11 @@ def j_source_row(spark, sf_dir):
     return e.join(o.withColumn("here", F.lit(True)), "source", "left").select("entity", F.when(c("here"), "FOUND").otherwise("RAW_ROW_NOT_FOUND").alias("status"))
 
 
-CATALOG = "docs AS (SELECT doc_id, 'paper' || doc_id AS file_key, regexp_replace(lower(substr(text, 1, 40)), '[^a-z0-9]+', '', 'g') AS title_key FROM documents)"
-
-
 def doc_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents")
     return documents.catalog(d, "doc_id", F.concat(F.lit("paper-"), c("doc_id").cast("string"), F.lit(".md")), "text")
 
 
-def asked_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = entities(spark, sf_dir)
-    return e.select("entity", F.concat(F.lit("Paper "), (c("entity") * 3).cast("string"), F.lit(".md")).alias("file"), F.lit("").alias("title"), F.lit("").alias("doi"))
-
-
-@query("j_doc_candidates", f"WITH {ENTITIES} SELECT entity AS \"row\", doc_id, 'filename' AS method FROM entities JOIN documents ON doc_id = entity * 3")
-def j_doc_candidates(spark, sf_dir):
-    return documents.candidates(asked_papers(spark, sf_dir), "entity", "file", "title", "doi", doc_catalog(spark, sf_dir))
-
-
-@query("j_doc_first", f"WITH {ENTITIES} SELECT entity AS \"row\", doc_id, 'filename' AS method FROM entities JOIN documents ON doc_id = entity * 3")
-def j_doc_first(spark, sf_dir):
-    return documents.first_candidate(j_doc_candidates(spark, sf_dir))
-
-
 WORDS_SQL = "ix AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM documents)"
 ASKED_WORDS = [["the", "blue", "idiot"], ["que", "las"], ["der", "und", "die"], ["oncology", "membrane"], ["email", "com"]]
 
@@ -267,7 +260,7 @@ def w_dup_count(spark, sf_dir):
     return delivery.duplicate_pairs(measured(spark, sf_dir), ["row_id", "slot"]).select("row_id", "item_index", "slot", "n_same")
 
 
-@query("agg_name_index", f"WITH {LONG} SELECT key, array_to_string(list_sort(list(DISTINCT record)), '|') AS records FROM long GROUP BY key")
+@query("agg_name_index", f"WITH {LONG}, {INDEX} SELECT * FROM ix")
 def agg_name_index(spark, sf_dir):
     return lineage.name_index(lineage.long_table(records(spark, sf_dir), "record", ["monomer", "additive"]))
 
@@ -280,7 +273,7 @@ def agg_source_cells(spark, sf_dir):
 @query("agg_trace_summary", f"WITH {LONG}, {ENTITIES}, m AS (SELECT entity, record FROM entities e LEFT JOIN long l ON lower(trim(e.name)) = l.key WHERE NOT list_contains(['n/a', '-'], e.name)) SELECT 'items' AS metric, (SELECT count(*) FROM long) AS \"value\" UNION ALL SELECT 'keys', (SELECT count(DISTINCT key) FROM long) UNION ALL SELECT 'entities', (SELECT count(DISTINCT entity) FROM m) UNION ALL SELECT 'traced', (SELECT count(DISTINCT entity) FROM m WHERE record IS NOT NULL)")
 def agg_trace_summary(spark, sf_dir):
     long = lineage.long_table(records(spark, sf_dir), "record", ["monomer", "additive"])
-    traced = entities(spark, sf_dir).filter(~predicates.is_placeholder(c("name"))).withColumn("key", text.match_key(c("name"))).join(lineage.name_index(long).select("key", c("records").alias("record")), "key", "left")
+    traced = lineage.matched(entities(spark, sf_dir).select("entity", "name"), "name", long)
     return lineage.trace_summary(long, traced, "entity")
 
 
@@ -446,9 +439,12 @@ def f_review_queue(spark, sf_dir):
     return delivery.review_queue(measured(spark, sf_dir)).select("row_id", "slot", "item_index")
 
 
-@query("proj_core_audit", f"WITH {MEASURED} SELECT row_id, item_index, wt, status FROM measured")
+@query("proj_core_audit", f"WITH {MEASURED} SELECT row_id, item_index, 'core' AS part, to_json({{'wt': wt, 'status': status}}) AS cells FROM measured UNION ALL SELECT row_id, item_index, 'audit', to_json({{'slot': slot, 'unit': unit, 'unit_family': unit_family, 'review': review}}) FROM measured")
 def proj_core_audit(spark, sf_dir):
-    return delivery.core_and_audit(measured(spark, sf_dir), ["row_id", "item_index"], ["wt", "status"])[0]
+    """Both parts, each row's cells as JSON."""
+    keys, parts = ["row_id", "item_index"], delivery.core_and_audit(measured(spark, sf_dir).withColumn("wt", c("wt").cast("double")), ["row_id", "item_index"], ["wt", "status"])
+    shown = [p.select(*keys, F.lit(n).alias("part"), F.to_json(F.struct(*[x for x in p.columns if x not in keys]), {"ignoreNullFields": "false"}).alias("cells")) for n, p in zip(("core", "audit"), parts, strict=True)]
+    return shown[0].unionAll(shown[1])
 
 
 @query("x_melt", "SELECT p_partkey, 'p_name' AS field, p_name AS raw FROM part UNION ALL SELECT p_partkey, 'p_brand', p_brand FROM part UNION ALL SELECT p_partkey, 'p_type', p_type FROM part")
@@ -560,12 +556,19 @@ def s_sentences(spark, sf_dir):
     return document_tokens(spark, sf_dir).select("record", text.sentence_windows(c("text"), c("token")).alias("windows"))
 
 
-@query("s_spans", None)
-def s_spans(spark, sf_dir):
-    return document_tokens(spark, sf_dir).select("record", text.span_windows(c("text"), c("token")).alias("windows"))
-
-
-@query("s_windows", None)
+@query("s_windows", r"""WITH d AS (SELECT doc_id AS record, text, (['the', 'idiot', 'que', 'zz9'])[doc_id % 4 + 1] AS token FROM documents),
+  s AS (SELECT record, token, list_transform(regexp_extract_all(text, '[^.!?。；;\n]*[.!?。；;\n]|[^.!?。；;\n]+$'), lambda x: trim(x)) AS p FROM d),
+  h AS (SELECT record, p, unnest(list_filter(range(1, len(p) + 1), lambda i: regexp_matches(p[i], '(?i)(^|[^A-Za-z0-9])' || token || '([^A-Za-z0-9]|$)'))) AS i FROM s),
+  w AS (SELECT record, i, trim(regexp_replace(translate(array_to_string(list_filter(p[greatest(i - 1, 1):i + 1], lambda x: x <> ''), ' '), '（），；：｜–—−', '(),;:|---'), '\s+', ' ', 'g')) AS w FROM h),
+  f AS (SELECT record, i, w, row_number() OVER (PARTITION BY record, lower(w) ORDER BY i) AS n FROM w WHERE w <> ''),
+  sent AS (SELECT record, list(substr(w, 1, 1400) ORDER BY i)[1:6] AS a FROM f WHERE n = 1 GROUP BY record),
+  cut AS (SELECT record, text, token, string_split(lower(text), token) AS pieces, length(token) AS n FROM d),
+  spots AS (SELECT record, text, n, list_filter(list_transform(range(1, len(pieces)), lambda k: CAST(list_sum(list_transform(pieces[1:k], lambda p: length(p))) AS BIGINT) + (k - 1) * n + 1),
+    lambda i: NOT regexp_matches(substr(lower(text), i - 1, CASE WHEN i = 1 THEN 0 ELSE 1 END), '[a-z0-9]') AND NOT regexp_matches(substr(lower(text), i + n, 1), '[a-z0-9]')) AS places FROM cut),
+  sp AS (SELECT record, list_filter(list_transform(places, lambda i: trim(regexp_replace(translate(substr(text, greatest(i - 300, 1), least(i - 1, 300) + n + 300), '（），；：｜–—−', '(),;:|---'), '\s+', ' ', 'g'))), lambda x: x <> '') AS w FROM spots),
+  span AS (SELECT record, list_filter(w, lambda x, i: list_position(list_transform(w, lambda y: lower(y)), lower(x)) = i)[1:6] AS b FROM sp),
+  every AS (SELECT d.record, d.token, coalesce(a, []) || coalesce(b, []) AS e FROM d LEFT JOIN sent USING (record) LEFT JOIN span USING (record))
+  SELECT record, token, list_filter(e, lambda x, i: list_position(e, x) = i)[1:20] AS windows FROM every""")
 def s_windows(spark, sf_dir):
     return documents.windows(document_tokens(spark, sf_dir), ["record", "token"], "text", "token")
 
@@ -586,11 +589,6 @@ def src_zip_catalog(spark, sf_dir):
     return doc_catalog(spark, sf_dir)
 
 
-@query("src_jsonl_cache", "SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
-def src_jsonl_cache(spark, sf_dir):
-    return lookup.last_wins(events(spark, sf_dir), "user_id", "event_id", "event_type")
-
-
 @query("src_sample", None)
 def src_sample(spark, sf_dir):
     # by a hash of the key: the same rows however the table is partitioned

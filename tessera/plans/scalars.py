@@ -179,7 +179,7 @@ def concentration(x: str) -> str:
 def core(x: str) -> str:
     s = f"trim(coalesce({x}, ''))"
     t = f"trim({drop(s, chr(92) + 's*' + chr(92) + '([^)]*' + chr(92) + ')' + chr(92) + 's*$')})"
-    for p in (fixed.CORE_QUANTITY, fixed.CORE_SUFFIXES, fixed.CORE_PREFIXES):
+    for p in (fixed.CORE_QUANTITY, fixed.CORE_SUFFIXES, "(?i)^(?:" + "|".join(fixed.CORE_PREFIXES) + ")*"):
         t = f"trim(regexp_replace({t}, '{p}', ''))"
     return f"CASE WHEN {t} = '' THEN {s} ELSE {t} END"
 
@@ -317,7 +317,7 @@ spec("p_blank", lambda: predicates.is_blank(c("unit")), f"list_contains(['', 'na
 spec("p_recheck", lambda: predicates.is_recheck_candidate(c("name"), c("status")), f"({doc('name')} <> '' AND {one_of('upper(status)', fixed.UNRESOLVED)} AND ({abbr_like('name')} OR (NOT {generic('name')} AND (list_contains(['NO_HIT', 'NO_SPECIFIC_CHEMICAL'], upper(status)) OR (length({doc('name')}) >= 8 AND regexp_matches({doc('name')}, '\\pL'))))))")
 spec("p_bad_cand", lambda: predicates.is_bad_candidate(c("name")), (
     f"(length({doc('name')}) NOT BETWEEN 4 AND 120 OR {words('lower(' + doc('name') + ')')} > 8 OR regexp_matches({doc('name')}, '^[A-Z0-9\\-_/]+$') OR {has_any('lower(' + doc('name') + ')', fixed.BAD_CANDIDATE_PHRASES)} "
-    f"OR regexp_matches(lower({doc('name')}), '{fixed.CANDIDATE_BAD_STARTS}') OR {keep(doc('name'), '(')} <> {keep(doc('name'), ')')} OR regexp_matches(lower({doc('name')}), '{fixed.CANDIDATE_BAD_PARTS}'))"
+    f"OR regexp_matches(lower({doc('name')}), '{predicates.one_of_patterns(fixed.CANDIDATE_BAD_STARTS)}') OR {keep(doc('name'), '(')} <> {keep(doc('name'), ')')} OR regexp_matches(lower({doc('name')}), '{predicates.one_of_patterns(fixed.CANDIDATE_BAD_PARTS)}'))"
 ))
 spec("p_material", lambda: predicates.mentions_material(c("name")), has_any(f"lower({doc('name')})", fixed.MATERIAL_KEYWORDS))
 spec("p_material_q", lambda: predicates.mentions_material(text.cleanup_candidate(c("name"))), has_any(f"lower({doc(candidate('name'))})", fixed.MATERIAL_KEYWORDS))

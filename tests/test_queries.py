@@ -6,11 +6,11 @@ import os
 import duckdb
 import pytest
 
-from tessera.plans import cleaning, relational, scalars
+from tessera.plans import answers, backtrace, cleaning, recovery, relational, scalars
 
 SF = "/root/testdata/sf0.001"
-QUERIES = scalars.queries() | relational.queries() | cleaning.queries()
-SQL = scalars.oracle_sql() | relational.oracle_sql() | cleaning.oracle_sql()
+QUERIES = scalars.queries() | relational.queries() | cleaning.queries() | backtrace.queries() | recovery.queries() | answers.queries()
+SQL = scalars.oracle_sql() | relational.oracle_sql() | cleaning.oracle_sql() | backtrace.oracle_sql() | recovery.oracle_sql() | answers.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
 
