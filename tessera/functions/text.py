@@ -117,10 +117,13 @@ def strip_concentration(c: Column) -> Column:
     t = F.regexp_replace(t, r"(?i)^\s*\d+(\.\d+)?\s*(mg/l|g/l|mg|g|kg|ml|l|mM|uM|μM|nM|M)\s*", "")
     t = F.regexp_replace(strip_phase_tags(t), r"(?i)\b(aqueous solution|solution|suspension|dispersion|buffer)\b\s*$", "")
     bracket = r"^(.*\S)\s*\(([^()]*)\)\s*$"
-    inner = F.trim(F.regexp_extract(t, bracket, 2))
-    drop = inner.rlike(r"^[A-Za-z0-9+\-]{1,18}$") | F.lower(inner).rlike("water phase|aqueous phase|oil phase|organic phase|water|aqueous|oil|水相|油相|有机相|水溶液|溶液")
-    t = F.when(t.rlike(bracket) & drop, F.trim(F.regexp_extract(t, bracket, 1))).otherwise(t)
-    return trim_marks(F.regexp_replace(t, r"\s+", " "))
+
+    def without_alias(t: Column) -> Column:
+        inner = F.trim(F.regexp_extract(t, bracket, 2))
+        drop = inner.rlike(r"^[A-Za-z0-9+\-]{1,18}$") | F.lower(inner).rlike("water phase|aqueous phase|oil phase|organic phase|water|aqueous|oil|水相|油相|有机相|水溶液|溶液")
+        return F.when(t.rlike(bracket) & drop, F.trim(F.regexp_extract(t, bracket, 1))).otherwise(t)
+
+    return trim_marks(F.regexp_replace(bound(t, without_alias), r"\s+", " "))
 
 
 def strip_nano(c: Column) -> Column:
@@ -143,17 +146,20 @@ def query_variants(c: Column) -> Column:
 def candidate_names(c: Column, most: int = 10) -> Column:
     """Names to try in order, distinct in any letter case: raw, without context, without nano words, the full name before an
     abbreviation, and each of them with plain hyphens and commas."""
-    raw = unify_ascii(c)
-    context = strip_concentration(raw)
     named = r"^(.*\S)\s*\(([A-Za-z][A-Za-z0-9+\-]{1,20})\)\s*$"
-    full = F.when(raw.rlike(named), strip_concentration(F.trim(F.regexp_extract(raw, named, 1)))).otherwise(F.lit(""))
     tidy = lambda x: trim_marks(F.regexp_replace(strip_phase_tags(normalize_spelling(x)), r"\s+", " "))
-    base = F.filter(F.transform(F.array(raw, context, strip_nano(context), strip_nano(raw), full), tidy), lambda x: F.length(x) >= 2)
-    plain = F.transform(base, lambda x: F.regexp_replace(F.regexp_replace(x, r"\s*-\s*", "-"), r"\s*,\s*", ","))
-    every = F.concat(base, plain)
-    low = F.transform(every, F.lower)
-    kept = F.filter(F.transform(every, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: F.array_position(low, F.lower(s["x"])) == s["i"] + 1)
-    return F.when(raw == "", F.array().cast("array<string>")).otherwise(F.slice(F.transform(kept, lambda s: s["x"]), 1, most))
+    plain = lambda x: F.regexp_replace(F.regexp_replace(x, r"\s*-\s*", "-"), r"\s*,\s*", ",")
+
+    def spelled(base: Column) -> Column:
+        return first_distinct(F.concat(base, F.transform(base, plain)), F.lower, lambda x: x, most, least=0)
+
+    def from_both(raw: Column, context: Column) -> Column:
+        full = F.when(raw.rlike(named), strip_concentration(F.trim(F.regexp_extract(raw, named, 1)))).otherwise(F.lit(""))
+        every = F.transform(F.array(raw, context, strip_nano(context), strip_nano(raw), full), tidy)
+        return bound(F.filter(every, lambda x: F.length(x) >= 2), spelled)
+
+    nothing = F.array().cast("array<string>")
+    return bound(unify_ascii(c), lambda raw: F.when(raw == "", nothing).otherwise(bound(strip_concentration(raw), lambda context: from_both(raw, context))))
 
 
 def cell_text(c: Column) -> Column:
@@ -278,11 +284,11 @@ def snippet(text: Column, keyword: Column, window: int) -> Column:
     return F.when((at > 0) & (keyword != ""), _squeeze(cut)).otherwise(F.lit(""))
 
 
-def first_distinct(windows: Column, key, shown, most: int) -> Column:
+def first_distinct(windows: Column, key, shown, most: int, least: int = 1) -> Column:
     """The first `most` of the non-blank texts with distinct keys, each as shown: one pass that holds only what it found."""
     nothing = F.array().cast("array<string>")
     add = lambda acc, w: F.struct(F.array_append(acc["keys"], key(w)).alias("keys"), F.array_append(acc["out"], shown(w)).alias("out"))
-    wanted = lambda acc, w: (w != "") & (F.size(acc["out"]) < most) & ~F.array_contains(acc["keys"], key(w))
+    wanted = lambda acc, w: (F.length(w) >= least) & (F.size(acc["out"]) < most) & ~F.array_contains(acc["keys"], key(w))
     return F.aggregate(windows, F.struct(nothing.alias("keys"), nothing.alias("out")), lambda acc, w: F.when(wanted(acc, w), add(acc, w)).otherwise(acc), lambda acc: acc["out"])
 
 

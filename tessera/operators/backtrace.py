@@ -25,21 +25,28 @@ SURE = ["doi", "filename", "filename_stem"]
 FOUND = ["status", "doc_id", "method", "tried", "resolved", "cid", "formula", "confidence", "evidence"]
 
 
+def record_candidates(records: DataFrame, catalog: DataFrame, folder: str) -> DataFrame:
+    """(record, doc_id, method, tried) of the candidate documents of `records` (record, file, title, doi), numbered from 1 in their order. A record's
+    candidates do not depend on who asks: they are found once and written under `folder`."""
+    found = documents.candidates(records, "record", "file", "title", "doi", catalog, f"{folder}/keys").withColumnRenamed("row", "record")
+    order = top_k(found, [F.col("record")], [F.col("place")], 2**31 - 1)
+    return steps.written(order.select("record", "doc_id", "method", F.col("rank").alias("tried")), f"{folder}/candidates")
+
+
 def located(asked: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(row, doc_id, method, tried, windows, matched) of each row's first candidate document that holds one of its tokens.
+    """(row, name, query, doc_id, method, tried, windows, matched) of each row's first candidate document that holds one of its tokens.
 
-    `asked` has row, name, query; `found` row, doc_id, method, place; `docs` doc_id, text. Documents that only a title or a likeness
-    suggests need the name itself or a close form of it. Each name is sought once in each document."""
-    met = asked.join(found, "row")
+    `asked` has row, name, query, record; `found` record, doc_id, method, tried; `docs` doc_id, text. Documents that only a title or a
+    likeness suggests need the name itself or a close form of it. Each name is sought once in each document."""
+    met = asked.join(found, "record")
     pairs = met.select("name", "query", "doc_id").distinct()
     sought = asked.select("name", "query").distinct().withColumn("tokens", gates.search_tokens(F.col("name"), F.col("query")))
     texts = pairs.join(sought, ["name", "query"]).join(docs.select("doc_id", "text"), "doc_id")
     seen = texts.select("name", "query", "doc_id", gates.context_windows(F.coalesce("text", F.lit("")), F.col("tokens")).alias("w")).filter("size(w.matched) > 0")
     told = seen.select("name", "query", "doc_id", F.slice("w.windows", 1, WINDOWS).alias("windows"), "w.matched", gates.strong_hit(F.col("w.matched"), F.col("name")).alias("strong"))
-    order = top_k(found, [F.col("row")], [F.col("place")], 2**31 - 1).select("row", "doc_id", "method", F.col("rank").alias("tried"))
-    fits = asked.join(order, "row").join(told, ["name", "query", "doc_id"]).filter(F.col("method").isin(SURE) | F.col("strong"))
-    best = fits.groupBy("row").agg(F.min_by(F.struct("doc_id", "method", "tried", "windows", "matched"), F.col("tried")).alias("x"))
-    return best.select("row", "x.*")
+    fits = met.join(told, ["name", "query", "doc_id"]).filter(F.col("method").isin(SURE) | F.col("strong"))
+    best = fits.groupBy("row", "name", "query").agg(F.min_by(F.struct("doc_id", "method", "tried", "windows", "matched"), F.col("tried")).alias("x"))
+    return best.select("row", "name", "query", "x.*")
 
 
 def definitions(cases: DataFrame) -> DataFrame:
@@ -115,18 +122,17 @@ def resolved(cases: DataFrame, registry: DataFrame, known: dict[str, str], folde
     return out.select("case", final.alias("f")).select("case", "f.*")
 
 
-def trace_source(asked: DataFrame, docs: DataFrame, catalog: DataFrame, registry: DataFrame, known: dict[str, str], folder: str) -> DataFrame:
-    """`asked` (row, name, query, record, file, title, doi; record is null where there is none) to row and the columns of FOUND. Steps that are read again are written under `folder`."""
-    here = asked.withColumns({c: F.coalesce(c, F.lit("")) for c in ("name", "query")}).withColumns({c: text.norm_text_doc(F.col(c)) for c in ("name", "query")})
-    with_record = here.filter("record is not null")
-    found = steps.written(documents.candidates(with_record, "row", "file", "title", "doi", catalog, f"{folder}/keys"), f"{folder}/candidates")
-    placed = steps.written(located(with_record.select("row", "name", "query"), found, docs), f"{folder}/located")
-    cases = placed.join(here.select("row", "name", "query"), "row").withColumn("case", F.struct("name", "query", "doc_id"))
-    distinct = steps.written(cases.groupBy("case").agg(F.first("windows").alias("windows"), F.first("matched").alias("matched")).select("case", "case.name", "case.query", "windows", "matched"), f"{folder}/cases")
+def trace_source(asked: DataFrame, docs: DataFrame, found: DataFrame, registry: DataFrame, known: dict[str, str], folder: str) -> DataFrame:
+    """`asked` (row, name, query, record; record is null where there is none) to row and the columns of FOUND. `found` is what
+    record_candidates gives. Steps that are read again are written under `folder`."""
+    here = asked.select("row", "record", *[text.norm_text_doc(F.col(c)).alias(c) for c in ("name", "query")])
+    placed = steps.written(located(here.filter("record is not null"), found, docs), f"{folder}/located")
+    cases = placed.withColumn("case", F.struct("name", "query", "doc_id"))
+    distinct = cases.groupBy("case").agg(F.first("windows").alias("windows"), F.first("matched").alias("matched")).select("case", "case.name", "case.query", "windows", "matched")
     told = resolved(distinct, registry, known, folder)
     outcome = cases.select("row", "case", "doc_id", "method", "tried").join(told, "case").select("row", *FOUND)
-    counted = found.groupBy("row").agg(F.count("*").cast("int").alias("tried"))
-    rest = here.join(placed.select("row"), "row", "left_anti").join(counted, "row", "left")
+    counted = found.groupBy("record").agg(F.max("tried").alias("tried"))
+    rest = here.join(placed.select("row"), "row", "left_anti").join(counted, "record", "left")
     status = F.when(F.col("record").isNull(), "RAW_ROW_NOT_FOUND").when(F.col("tried").isNull(), "MD_NOT_FOUND").otherwise("TOKEN_NOT_IN_MD")
     kinds = dict(outcome.dtypes)
     missing = {"status": status, "tried": F.coalesce("tried", F.lit(0)), "resolved": F.lit(""), "confidence": F.lit(0.0), "evidence": F.lit("")}
@@ -137,20 +143,23 @@ def backtrace(entities: DataFrame, records: DataFrame, docs: DataFrame, catalog:
     """`entities` (entity, name, query, sources: array of records) to entity, source, trail and the columns of FOUND.
 
     `folder` holds the rounds; a call with the folder of one that was stopped goes on after its last whole round."""
+    spark = entities.sparkSession
     first = entities.select("entity", "name", "query", F.slice(F.coalesce("sources", F.array().cast(entities.schema["sources"].dataType)), 1, max(1, tries)).alias("sources"))
+    cited = records.join(first.select(F.explode("sources").alias("record")).distinct(), "record", "left_semi")
+    found = record_candidates(cited, catalog, folder)
+    numbers = records.select(F.col("record").alias("source"), "record")
     rounds: list[DataFrame] = []
     for k in range(1, max(1, tries) + 1):
         here = f"{folder}/round-{k}"
+        if steps.is_whole(spark, f"{here}/outcome"):
+            rounds.append(spark.read.parquet(f"{here}/outcome"))
+            continue
+        steps.remove(spark, here)
         open_ = first.filter(F.size("sources") >= k).select("entity", "name", "query", F.get("sources", k - 1).alias("source"))
         for before in rounds:
             open_ = open_.join(before.filter("status = 'BACKTRACE_HIT'").select("entity"), "entity", "left_anti")
-        asked = open_.join(records.withColumn("source", F.col("record")), "source", "left").withColumnRenamed("entity", "row")
-        if steps.is_whole(first.sparkSession, f"{here}/outcome"):
-            rounds.append(first.sparkSession.read.parquet(f"{here}/outcome"))
-            continue
-        steps.remove(first.sparkSession, here)
-        asked = steps.written(asked, f"{here}/asked")
-        told = trace_source(asked, docs, catalog, registry, known, here).withColumnRenamed("row", "entity")
+        asked = steps.written(open_.join(numbers, "source", "left").withColumnRenamed("entity", "row"), f"{here}/asked")
+        told = trace_source(asked, docs, found, registry, known, here).withColumnRenamed("row", "entity")
         rounds.append(steps.written(told.join(asked.select(F.col("row").alias("entity"), "source"), "entity"), f"{here}/outcome"))
     every = None
     for k, told in enumerate(rounds, 1):

@@ -16,15 +16,16 @@ from tessera.operators.lookup import first_success
 def resolve(names: DataFrame, row: str, name: str, registry: DataFrame) -> DataFrame:
     """(row, status, category, query, cid, formula): SKIPPED with its class, FOUND by the first candidate the registry knows, else FAILED.
 
-    `registry` has name_key, cid, formula; candidates are looked up by their lower-case text."""
-    unified = text.unify_ascii(F.col(name))
-    judged = names.select(F.col(row).alias("row"), unified.alias("name"), predicates.skip_class(unified).alias("skip"))
-    tried = judged.filter("skip is null").select("row", F.transform(text.candidate_names(F.col("name")), lambda x: F.lower(x)).alias("tries"))
-    found = first_success(tried, "row", F.col("tries"), registry, "name_key", ["cid", "formula"])
-    out = judged.join(found, "row", "left")
+    `registry` has name_key, cid, formula; candidates are looked up by their lower-case text. Each distinct name is resolved once."""
+    each = names.select(text.or_empty(F.col(name)).alias("__raw")).distinct().withColumn("name", text.unify_ascii(F.col("__raw")))
+    judged = each.withColumn("skip", predicates.skip_class(F.col("name")))
+    tried = judged.filter("skip is null").select("__raw", F.transform(text.candidate_names(F.col("__raw")), lambda x: F.lower(x)).alias("tries"))
+    found = first_success(tried, "__raw", F.col("tries"), registry, "name_key", ["cid", "formula"])
     status = F.when(F.col("skip").isNotNull(), "SKIPPED").when(F.col("cid").isNotNull(), "FOUND").otherwise("FAILED")
     failed = F.when(F.col("name").rlike(r"^[A-Z0-9\-]{2,10}$"), "ABBREVIATION_ONLY").otherwise("NOT_FOUND_FAST")
-    return out.select("row", status.alias("status"), F.coalesce("skip", F.when(status == "FAILED", failed), F.lit("")).alias("category"), "query", "cid", "formula")
+    told = judged.join(found, "__raw", "left").withColumn("status", status)
+    told = told.select("__raw", "status", F.coalesce("skip", F.when(F.col("status") == "FAILED", failed), F.lit("")).alias("category"), "query", "cid", "formula")
+    return names.select(F.col(row).alias("row"), text.or_empty(F.col(name)).alias("__raw")).join(told, "__raw").drop("__raw")
 
 
 def enrich(names: DataFrame, row: str, name: str, code: Column, registry: DataFrame) -> DataFrame:

@@ -321,15 +321,16 @@ def x_candidates_ctx(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ the program
-def _asked_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = entities(spark, sf_dir).select(c("entity").alias("row"), "name", "query", F.get("sources", 0).alias("source"))
-    return first.filter("source is not null").join(records(spark, sf_dir).withColumn("source", c("record")), "source", "left")
-
-
 @query("st_bt_source")
 def st_bt_source(spark, sf_dir):
+    """Every entity with a source, traced through the first of them."""
     folder = steps.shared_folder(spark, "source")
-    return backtrace.trace_source(_asked_first(spark, sf_dir), papers(spark, sf_dir), catalog(spark, sf_dir), registry(spark, sf_dir), KNOWN, folder)
+    first = entities(spark, sf_dir).select(c("entity").alias("row"), "name", "query", F.get("sources", 0).alias("source")).filter("source is not null")
+    known = records(spark, sf_dir)
+    cited = known.join(first.select(c("source").alias("record")).distinct(), "record", "left_semi")
+    found = backtrace.record_candidates(cited, catalog(spark, sf_dir), folder)
+    asked = first.join(known.select(c("record").alias("source"), "record"), "source", "left")
+    return backtrace.trace_source(asked, papers(spark, sf_dir), found, registry(spark, sf_dir), KNOWN, folder)
 
 
 def traced(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed
-from tessera.operators import recovery
+from tessera.operators import judge, recovery
 from tessera.plans import scalars as q
 from tessera.plans.adapters import pick, sql_list, sql_pick
 
@@ -189,6 +189,28 @@ def st_mw(spark, sf_dir):
     return recovery.molecular_weight(rows, "id", cache, s.select(c("s_suppkey").alias("cid"), c("s_acctbal").alias("mw")), by_name).withColumnRenamed("row", "id")
 
 
+JUDGED = ["wt%", "%", "ppm", "g/L", "mg/L", "M", "v/v%", "w/v%", "furlongs", ""]
+
+
+@query("st_mock_judge", f"""WITH i AS (SELECT p_partkey AS id, {sql_pick([n for n, _ in fixed.SLOTS], 'p_partkey * 3')} AS slot, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE p_name END AS solute, {sql_pick(['2.5', '', '1:4', 'lots', '40', '7', '8'], 'p_partkey')} AS v,
+    {sql_pick(JUDGED, 'p_partkey')} AS unit, p_partkey % 13 = 5 AS multi, p_partkey % 2 = 0 AS wet FROM part),
+  s AS (SELECT *, TRY_CAST(v AS DOUBLE) AS n, CASE WHEN solute = '' AND v = '' AND unit = '' THEN 'A' WHEN slot <> 'test_nacl' AND solute = '' THEN 'S' WHEN v = '' THEN 'V' WHEN unit = '' THEN 'U' WHEN multi THEN 'M' WHEN TRY_CAST(v AS DOUBLE) IS NULL THEN 'N' ELSE 'K' END AS st FROM i)
+  SELECT id, CASE st WHEN 'K' THEN CASE WHEN unit = 'wt%' THEN n WHEN wet AND unit = 'ppm' THEN n / 10000.0 WHEN wet AND unit = 'g/L' THEN n / 10.0 WHEN wet AND unit = 'mg/L' THEN n / 10000.0 WHEN wet AND unit = 'w/v%' THEN n END END AS wt,
+    CASE st WHEN 'A' THEN 'EMPTY_ALL' WHEN 'S' THEN 'EMPTY_SOLUTE' WHEN 'V' THEN 'EMPTY_VALUE' WHEN 'U' THEN 'EMPTY_UNIT' WHEN 'M' THEN 'MULTI_COUNT_MISMATCH' WHEN 'N' THEN CASE WHEN v = '1:4' THEN 'UNSUPPORTED_FORMAT' ELSE 'NON_NUMERIC_VALUE' END ELSE 'OK' END AS parse_status,
+    CASE WHEN st IN ('M', 'N') THEN 'FAILED_PARSE' WHEN st <> 'K' THEN '' WHEN unit = 'wt%' THEN 'DIRECT_WT' WHEN unit IN ('%', 'M') THEN 'NEED_TRACEBACK' WHEN unit IN ('ppm', 'g/L', 'mg/L', 'w/v%') THEN CASE WHEN wet THEN 'ASSUMED_CONVERTED' ELSE 'NEED_TRACEBACK' END ELSE 'CANNOT_CONVERT' END AS status,
+    CASE WHEN st = 'M' THEN 'MAPPING_RELATION' WHEN st <> 'K' OR unit IN ('wt%', 'v/v%') THEN '' WHEN unit = '%' THEN CASE WHEN slot = 'test_nacl' THEN 'PERCENT_TYPE|ORIGINAL_UNIT' WHEN slot IN ('aqueous_monomer', 'organic_monomer') THEN 'PERCENT_TYPE' ELSE 'PERCENT_TYPE|PHASE_TYPE' END
+      WHEN unit = 'M' THEN CASE WHEN slot IN ('additive', 'modifier') THEN 'MOLECULAR_WEIGHT|DENSITY|SOLUTE_IDENTITY' ELSE 'MOLECULAR_WEIGHT|DENSITY' END WHEN unit = 'furlongs' THEN 'ORIGINAL_UNIT' WHEN wet THEN '' WHEN unit = 'ppm' THEN 'PHASE_TYPE|SOLVENT_TYPE' WHEN unit = 'w/v%' THEN 'DENSITY|PHASE_TYPE|SOLVENT_TYPE' ELSE 'PHASE_TYPE|DENSITY|SOLVENT_TYPE' END AS targets,
+    CASE st WHEN 'A' THEN 0 WHEN 'V' THEN CASE WHEN solute = '' THEN 0 ELSE 1 END WHEN 'K' THEN CASE WHEN unit = 'wt%' THEN 0 WHEN wet AND unit IN ('ppm', 'g/L', 'mg/L', 'w/v%') THEN 1 ELSE 2 END ELSE 2 END AS review_flag FROM s""")
+def st_mock_judge(spark, sf_dir):
+    k = c("p_partkey")
+    value = pick(["2.5", "", "1:4", "lots", "40", "7", "8"], k)
+    slots = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        k.alias("id"), pick([n for n, _ in fixed.SLOTS], k * 3).alias("slot"), F.when(k % 6 == 0, "").otherwise(c("p_name")).alias("solute"), value.alias("value"), pick(JUDGED, k).alias("unit"),
+        F.when(k % 13 == 5, "MULTI_UNRESOLVED").otherwise("ONE_TO_ONE").alias("mapping"), value.try_cast("double").alias("number"), pick(JUDGED, k).alias("canonical_unit"), F.when(k % 2 == 0, "aqueous").otherwise("organic").alias("phase"),
+    )
+    return judge.judge(slots, ["id"]).select("id", "wt", "parse_status", "status", F.array_join("targets", "|").alias("targets"), "review_flag")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in QUERIES.items()}
 

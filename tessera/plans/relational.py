@@ -498,7 +498,9 @@ def st_review(spark, sf_dir):
     return delivery.review(slots(spark, sf_dir), identity(spark), context="sample")
 
 
-@query("st_identity_guard", None)
+@query("st_identity_guard", f"""WITH {ENTITIES}, {IDENTITY_SQL}, keys AS (SELECT lower(original) AS key, standard FROM t UNION SELECT lower(standard), standard FROM t)
+  SELECT entity, name, trim(name) AS standard, '' AS iupac, '' AS formula, '' AS cid, CAST(NULL AS DOUBLE) AS mw, true AS identity_rejected, 'IDENTITY_TABLE_REJECTED_SIMILARITY' AS identity_source
+  FROM entities JOIN keys ON key = lower(trim(name)) WHERE lower(name) <> lower(standard)""")
 def st_identity_guard(spark, sf_dir):
     return lookup.resolve_identity(entities(spark, sf_dir).select("entity", "name"), "name", identity(spark)).filter("identity_rejected")
 
@@ -514,7 +516,9 @@ def st_resolve_fast(spark, sf_dir):
     return resolve.resolve(cells(spark, sf_dir), "id", "name", registry(spark, sf_dir))
 
 
-@query("st_lookup", None)
+@query("st_lookup", f"""WITH {CELLS_SQL}, r AS (SELECT lower(p_name) AS name_key, min(p_partkey) AS cid FROM part GROUP BY 1), v AS (SELECT id, {q.DISTINCT_VARIANTS} AS tries FROM cells),
+  t AS (SELECT id, unnest(range(len(tries))) AS place, lower(unnest(tries)) AS query FROM v), n AS (SELECT id, query, cid, row_number() OVER (PARTITION BY id ORDER BY place) AS nth FROM t JOIN r ON name_key = query)
+  SELECT cells.id, query, cid FROM cells LEFT JOIN n ON n.id = cells.id AND nth = 1""")
 def st_lookup(spark, sf_dir):
     rows = cells(spark, sf_dir).select("id", text.query_variants(c("name")).alias("tries"))
     return lookup.first_success(rows, "id", F.transform(c("tries"), lambda x: F.lower(x)), registry(spark, sf_dir), "name_key", ["cid"])
@@ -579,7 +583,7 @@ def st_audit(spark, sf_dir):
     return documents.audit(rows, ["record"], "text", "token", "standard", F.array(F.lit("zzq")))
 
 
-@query("agg_audit_summary", None)
+@query("agg_audit_summary", "WITH d AS (SELECT text, (['the', 'idiot', 'que', 'zz9'])[doc_id % 4 + 1] AS token FROM documents) SELECT CASE WHEN regexp_matches(text, '(?i)(^|[^a-z0-9])' || token || '([^a-z0-9]|$)') THEN 'EXACT_TOKEN_IN_MD' WHEN regexp_matches(text, '(?i)(^|[^a-z0-9])(der)([^a-z0-9]|$)') THEN 'NORMALIZED_TOKEN_IN_MD' ELSE 'MD_FOUND_BUT_TOKEN_NOT_FOUND' END AS verdict, count(*) AS n FROM d GROUP BY 1")
 def agg_audit_summary(spark, sf_dir):
     return documents.audit_summary(st_audit(spark, sf_dir))
 

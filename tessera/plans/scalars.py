@@ -275,7 +275,12 @@ spec("s_strip_conc", lambda: text.strip_concentration(c("name")), concentration(
 spec("s_strip_nano", lambda: text.strip_nano(c("name")), marks(f"regexp_replace({drop('regexp_replace(name, ' + chr(39) + '纳米颗粒|纳米粒子' + chr(39) + ', ' + chr(39) + 'nanoparticles' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')', '[-_]' + chr(92) + 's*(NPs?|nps?)' + chr(92) + 'b', '(?i)' + chr(92) + 'b(nanoparticles?|nanosheets?|nanofillers?|nanorods?)' + chr(92) + 'b')}, '\\s+', ' ', 'g')"))
 spec("s_cleanup_cand", lambda: text.cleanup_candidate(c("name")), candidate("name"))
 spec("s_core_name", lambda: text.core_name(c("name")), core("name"))
-spec("s_variants", lambda: F.array_join(text.query_variants(c("name")), "|"), None)
+VARIANTS = (
+    f"[{doc('name')}, trim(regexp_replace(regexp_replace(regexp_replace({doc('name')}, '(?i)\\b(nanoparticles?|nps?)\\b', '', 'g'), '纳米颗粒', '', 'g'), '[-\\s]+$', '')), "
+    f"trim(regexp_extract({doc('name')}, '^(.+?)\\s*\\([^()]+\\)\\s*$', 1)), CASE WHEN contains({doc('name')}, '·') THEN replace({doc('name')}, '·', '.') ELSE '' END]"
+)
+DISTINCT_VARIANTS = f"list_filter({VARIANTS}, lambda x, i: x <> '' AND list_position({VARIANTS}, x) = i)"
+spec("s_variants", lambda: F.array_join(text.query_variants(c("name")), "|"), f"array_to_string({DISTINCT_VARIANTS}, '|')")
 spec("s_candidates", lambda: F.array_join(text.candidate_names(c("name")), "|"), None)
 spec("s_tok_set", lambda: F.array_join(F.array_sort(text.similarity_tokens(c("name"))), "|"), f"array_to_string(list_sort({tokens('name')}), '|')")
 spec("s_tok_set3", lambda: F.array_join(F.array_sort(text.match_tokens(c("name"))), "|"), f"array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower({doc('name')}), '[a-z]{{3,}}'), lambda t: NOT list_contains(['with', 'from', 'into', 'acid'], t)))), '|')")
@@ -306,10 +311,12 @@ spec("p_identity_ok", lambda: predicates.identity_verdict(c("name"), c("other"),
     f"WHEN trim({norm('doi')} || ' ' || {norm('unit')}) <> '' AND greatest({jaccard('name', 'other')}, {jaccard('name', norm('doi') + ' || chr(32) || ' + norm('unit'))}) >= 0.25 THEN 'ok_token_jaccard_with_extra' "
     f"WHEN {jaccard('name', 'other')} < 0.12 THEN 'token_overlap_too_low' ELSE 'ok_token_jaccard_marginal' END"
 ))
-spec("p_should_llm", lambda: predicates.should_judge(units.normalize_unit(c("unit"))["family"], units.phase(c("slot"), c("name"), c("name"), F.lit("")), c("name")), None)
+spec("p_should_llm", lambda: predicates.should_judge(units.normalize_unit(c("unit"))["family"], units.phase(c("slot"), c("name"), c("name"), F.lit("")), c("name")), (
+    f"({FAM} = 'percent_ambiguous' OR ({FAM} = 'molarity' AND {norm('name')} = '') OR (slot NOT IN ('aqueous_monomer', 'test_nacl', 'organic_monomer') AND NOT {one_of(key('name'), fixed.AQUEOUS_SOLUTES)} AND NOT {one_of(key('name'), fixed.ORGANIC_SOLUTES)}))"
+))
 spec("p_wt_sane", lambda: predicates.within_weight_percent(numbers.parse_number(c("value"))), f"coalesce({number(chr(34) + 'value' + chr(34))} BETWEEN 0.0 AND 100.0001, false)")
 spec("p_tb_sane", lambda: numbers.number_sanity(c("value"), units.normalize_unit(c("unit"))["family"], units.normalize_unit(c("unit"))["unit"]), sanity('"value"', FAM, U))
-spec("p_tb_noise", lambda: predicates.is_reference_noise(c("doi"), F.lit(0), F.lit(5)), None)
+spec("p_tb_noise", lambda: predicates.is_reference_noise(c("doi"), F.lit(0), F.lit(5)), "regexp_matches(lower(substr(doi, 1, 105)), 'doi|http')")
 spec("p_abbr_like", lambda: predicates.looks_like_abbreviation(c("name")), abbr_like("name"))
 spec("p_abbr_like_dic", lambda: predicates.looks_like_alias(c("name")), f"(regexp_matches(trim(name), '^[A-Za-z0-9\\-]{{2,10}}$') AND {keep('name', 'A-Z')} >= 2)")
 spec("p_generic", lambda: predicates.is_generic_name(c("name")), generic("name"))
@@ -330,11 +337,11 @@ spec("p_valid_full", lambda: predicates.is_valid_full_name(c("name")), (
     f"AND NOT {one_of('lower(' + doc('name') + ')', predicates.ABBREVIATION_CONTEXT)} AND NOT regexp_matches(lower({doc('name')}), 'solution|phase|水相|油相') AND regexp_matches({doc('name')}, '[A-Za-z一-鿿]'))"
 ))
 spec("p_chem_hint", lambda: predicates.has_chemistry_word(c("name")), has_any(f"lower({doc('name')})", predicates.CHEMISTRY_WORDS))
-spec("p_likely_abbr", lambda: ~F.trim(c("name")).contains(" ") & predicates.is_valid_abbreviation(c("name")), None)
+spec("p_likely_abbr", lambda: ~F.trim(c("name")).contains(" ") & predicates.is_valid_abbreviation(c("name")), f"(NOT contains(trim(name), ' ') AND {SPECS['p_valid_abbr'][1]})")
 spec("p_forced_mix", lambda: predicates.forced_mixture(c("name")), f"CASE WHEN {has_any('lower(' + doc('name') + ')', predicates.SOLUTION_WORDS)} THEN 'solution context' WHEN {has_any('lower(' + doc('name') + ')', predicates.MIXTURE_WORDS)} THEN 'mixture keyword' WHEN regexp_matches({doc('name')}, '(?i)\\s*(?:/|\\+|,|;| and )\\s*') THEN 'mixture connector' ELSE '' END")
 spec("p_non_entity", lambda: predicates.is_non_entity(c("name")), one_of(f"lower({doc('name')})", predicates.NON_ENTITIES))
 spec("p_cjk", lambda: predicates.has_cjk(c("name")), "regexp_matches(name, '[一-鿿]')")
-spec("p_overlap", lambda: predicates.overlaps(c("name"), c("other")), None)
+spec("p_overlap", lambda: predicates.overlaps(c("name"), c("other")), f"(regexp_matches(name, '[一-鿿]') OR len(list_filter(regexp_extract_all(lower({doc('name')}), '[a-z]{{3,}}'), lambda t: NOT list_contains(['with', 'from', 'into', 'acid'], t))) = 0 OR list_has_any(list_filter(regexp_extract_all(lower({doc('name')}), '[a-z]{{3,}}'), lambda t: NOT list_contains(['with', 'from', 'into', 'acid'], t)), list_filter(regexp_extract_all(lower({doc('other')}), '[a-z]{{3,}}'), lambda t: NOT list_contains(['with', 'from', 'into', 'acid'], t))))")
 spec("p_material_like", lambda: predicates.is_material_like(c("name")), f"(regexp_matches(lower({doc('name')}), '#\\s*\\d+[a-z]?\\s*$') OR {has_any('lower(' + doc('name') + ')', predicates.SAMPLE_WORDS)})")
 spec("p_model_code", lambda: predicates.is_model_code(c("name")), model("name"))
 spec("p_measure", lambda: predicates.is_measurement(c("name")), measure("name"))
@@ -357,7 +364,7 @@ spec("n_parse_strict", lambda: numbers.parse_single(c("value")), f"CASE WHEN reg
 spec("n_preprocess", lambda: numbers.value_cell(c("value"), c("unit"))["kind"], f"CASE WHEN {quote_off(V)} = '' THEN 'empty' WHEN {date_junk(V)} THEN 'date' WHEN {ratio_only(V)} THEN 'ratio' WHEN {middle(V)} IS NOT NULL THEN 'range' WHEN {power(V)} IS NOT NULL THEN 'scientific' ELSE 'plain' END")
 spec("n_format_g", lambda: numbers.format_g(numbers.parse_number(c("value"))), f"coalesce(format('{{:g}}', round({number(V)}, 6)), '')")
 spec("n_format_strip", lambda: numbers.format_fixed(numbers.parse_number(c("value"))), f"regexp_replace(regexp_replace(printf('%.6f', {number(V)}), '(\\.\\d*?)0+$', '\\1'), '\\.$', '')")
-spec("n_indices", lambda: F.array_join(numbers.indices(c("value")).cast("array<string>"), "|"), None)
+spec("n_indices", lambda: F.array_join(numbers.indices(c("value")).cast("array<string>"), "|"), "array_to_string(list_filter(list_transform(regexp_extract_all(\"value\", '[0-9]+'), lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), lambda x, i: list_position(list_transform(regexp_extract_all(\"value\", '[0-9]+'), lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), x) = i), '|')")
 spec("n_unit_repair", lambda: units.repair_unit(c("unit")), unit_fixed("unit"))
 spec("n_unit_norm", lambda: F.concat_ws("|", units.normalize_unit(c("unit"))["unit"], units.normalize_unit(c("unit"))["family"]), f"concat_ws('|', {U}, {FAM})")
 spec("n_inline_unit", lambda: F.concat_ws("|", units.inline_unit(c("value"), F.lit(""))["value"], units.inline_unit(c("value"), F.lit(""))["unit"]), (

@@ -51,7 +51,9 @@ def test_outcomes_of_one_source(spark, library, tmp_path):
         (1, "SDS", "", 1, file(1), "", ""), (2, "TMC", None, 2, file(2), None, None), (3, "ZIF-8", "", 3, file(3), "", ""), (4, "MPD", "", 4, file(4), "", ""), (5, "PEI", "", 5, file(5), "", ""),
         (6, "MPD", "", 1, file(1), "", ""), (7, "SDS", "", None, None, None, None), (8, "SDS", "", 9, "", "", ""), (9, None, None, 1, file(1), "", ""), (10, "SDS", "", 1, file(1), "", ""),
     ])
-    found = {r["row"]: r for r in backtrace.trace_source(asked, docs, catalog, registry, KNOWN, str(tmp_path / "one")).collect()}
+    cited = asked.filter("record is not null").select("record", "file", "title", "doi").distinct()
+    candidates = backtrace.record_candidates(cited, catalog, str(tmp_path / "one"))
+    found = {r["row"]: r for r in backtrace.trace_source(asked, docs, candidates, registry, KNOWN, str(tmp_path / "one")).collect()}
     told = {k: (r["status"], r["doc_id"], r["method"], r["resolved"], r["cid"]) for k, r in found.items()}
     assert told[1] == told[10] == ("BACKTRACE_HIT", 1, "filename", "sodium dodecyl sulfate", "1")
     assert told[2] == ("BACKTRACE_HIT", 2, "filename", "trimesoyl chloride", "2")
