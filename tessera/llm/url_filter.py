@@ -25,9 +25,10 @@ from tessera.llm.components import connected_components
 
 #: Query parameters that do not tell pages apart (fixed values).
 TRACKING = r"(?i)^(utm_[^=]*|ref|fbclid|gclid|mc_cid|mc_eid)(=|$)"
-LINK = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-HREF = r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+COMMENT = r"(?s)<!--.*?(-->|$)"
+TAG = r"(?is)<{name}\s[^>]*>"
+#: The value of an attribute, with a white space before its name: quoted in one way or the other, or bare.
+ATTRIBUTE = r"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
 TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'>\s]+)"
 
 
@@ -106,11 +107,21 @@ def resolved(base: Column, link: Column) -> Column:
     )
 
 
+def attribute(tag: Column, name: str) -> Column:
+    return F.concat(*[F.regexp_extract(tag, ATTRIBUTE.format(name=name), i) for i in (1, 2, 3)])
+
+
+def tags(html: Column, name: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(TAG.format(name=name)), F.lit(0))
+
+
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(u, v): the nodes that canonical links and refreshes of the pages join."""
-    links = F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(0)), lambda tag: F.concat(*[F.regexp_extract(tag, HREF, i) for i in (1, 2, 3)]))
-    refreshes = F.transform(F.regexp_extract_all("html", F.lit(REFRESH), F.lit(0)), lambda tag: F.regexp_extract(tag, TARGET, 1))
-    found = pages.filter(F.col("url").contains("://") & F.col("html").isNotNull()).select("url", F.explode(F.concat(links, refreshes)).alias("link"))
+    """(u, v): the nodes that canonical links and refreshes of the pages join. `canonical` may be one of several words of rel; comments hold no tags."""
+    html = F.regexp_replace("html", COMMENT, "")
+    shown = pages.filter(F.col("url").contains("://") & F.col("html").isNotNull()).select("url", html.alias("html"))
+    links = F.transform(F.filter(tags(F.col("html"), "link"), lambda t: attribute(t, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)")), lambda t: attribute(t, "href"))
+    refreshes = F.transform(F.filter(tags(F.col("html"), "meta"), lambda t: F.lower(F.trim(attribute(t, "http-equiv"))) == "refresh"), lambda t: F.regexp_extract(t, TARGET, 1))
+    found = shown.select("url", F.explode(F.concat(links, refreshes)).alias("link"))
     linked = found.filter("link <> ''").select("url", resolved(F.col("url"), F.col("link")).alias("to"))
     return linked.select(canonical(F.col("url")).alias("u"), canonical(F.col("to")).alias("v"))
 
@@ -156,6 +167,11 @@ def _sql_node(url: str) -> str:
     return f"CASE WHEN contains({url}, '://') THEN {host} || regexp_replace({path}, '/+$', '') || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END END"
 
 
+def _sql_attribute(name: str) -> str:
+    quoted = [f"regexp_extract(t, '(?is)\\\\s{name}\\\\s*=\\\\s*{q}', 1)" for q in ('"([^"]*)"', "''([^'']*)''", "([^\\\\s>\"'']+)")]
+    return f"coalesce(nullif({quoted[0]}, ''), nullif({quoted[1]}, ''), {quoted[2]})".replace("\\\\", "\\")
+
+
 ORACLE_SQL = f"""
 WITH RECURSIVE parsed AS (
   SELECT page_id, url, html,
@@ -168,11 +184,17 @@ hosted AS (
     regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path, {_sql_node('url')} AS node
   FROM split),
 ruled AS (SELECT page_id, host, path, node, {_sql_rule('rule')} AS rule, {_sql_rule('verdict')} AS decided FROM hosted),
-links AS (
-  SELECT url, unnest(list_concat(
-    list_transform(regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), lambda t: regexp_extract(t, '(?is)\\bhref\\s*=\\s*["'']?([^"''>\\s]+)', 1)),
-    list_transform(regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), lambda t: regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?([^"''>\\s]+)', 1)))) AS link
+bare AS (
+  SELECT url, array_to_string(list_transform(string_split(html, '<!--'), lambda x, i: CASE WHEN i = 1 THEN x WHEN contains(x, '-->') THEN substr(x, strpos(x, '-->') + 3) ELSE '' END), '') AS html
   FROM hosted WHERE contains(url, '://')),
+tags AS (
+  SELECT url, 'link' AS kind, unnest(regexp_split_to_array(html, '(?i)<link\\s')[2:]) AS rest FROM bare
+  UNION ALL SELECT url, 'meta', unnest(regexp_split_to_array(html, '(?i)<meta\\s')[2:]) FROM bare),
+attributes AS (
+  SELECT url, kind, ' ' || split_part(rest, '>', 1) AS t FROM tags WHERE contains(rest, '>')),
+links AS (
+  SELECT url, {_sql_attribute('href')} AS link FROM attributes WHERE kind = 'link' AND list_contains(regexp_split_to_array(lower({_sql_attribute('rel')}), '\\s+'), 'canonical')
+  UNION ALL SELECT url, regexp_extract(t, '(?is)\\burl\\s*=\\s*["'']?([^"''>\\s]+)', 1) FROM attributes WHERE kind = 'meta' AND lower(trim({_sql_attribute('http-equiv')})) = 'refresh'),
 targets AS (
   SELECT url, CASE WHEN contains(link, '://') THEN link WHEN starts_with(link, '//') THEN regexp_extract(url, '^(.*?)://', 1) || ':' || link
     ELSE regexp_extract(url, '^.*?://[^/?#]*') || CASE WHEN starts_with(link, '/') THEN link ELSE '/' || link END END AS target
