@@ -102,10 +102,18 @@ class Measure:
         """s: keys beyond D + 1 that a document gives in this band."""
         return 2 + (self.difference(band) + 1) // 8
 
-    def spread(self, hub_sizes):
-        """D: the largest symmetric difference of two linked sets that share a key with a hub of such a size. Their sizes
-        are at most two bands' width above the hub's."""
-        return self.most_apart(2 * (hub_sizes * 10_000 // (self.percent * self.percent) + 2)) + 1
+    def partner_difference(self, sizes):
+        """D of each size: the largest symmetric difference of a linked pair of which one has it."""
+        return self.most_apart(sizes + sizes * 100 // self.percent)
+
+    def settled(self, sizes, apart):
+        """Whether all links of a set that is `apart` from a hub lie in the hub's family: it is near, at most twice D away."""
+        return apart <= 2 * self.partner_difference(sizes)
+
+    def in_family(self, sizes, apart):
+        """Whether a set belongs to a hub's family: a settled partner is at most 100 / percent of its size, so its own D and twice that
+        are three times the D of such a partner."""
+        return apart <= 3 * self.partner_difference(sizes * 100 // self.percent + 1)
 
 
 def parity_words(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -391,9 +399,10 @@ def _distances(measure: Measure):
         for batch in batches:
             x, y = batch.column("sketch_a"), batch.column("sketch_b")
             apart = np.fromiter((hamming(x[i].as_py(), y[i].as_py()) for i in range(len(batch))), np.int64, len(batch))
-            most = measure.spread(batch.column("n_b").to_numpy())
+            sizes = batch.column("n_a").to_numpy()
             columns = [batch.column(c) for c in ("a", "b", "rep_a", "rep_b")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(2 * apart <= 3 * most), pa.array(2 * apart <= 5 * most)], names=["node", "hub", "node_rep", "hub_rep", "near", "in_family"])
+            tests = [pa.array(measure.settled(sizes, apart)), pa.array(measure.in_family(sizes, apart))]
+            yield pa.RecordBatch.from_arrays([*columns, *tests], names=["node", "hub", "node_rep", "hub_rep", "near", "in_family"])
 
     return run
 
@@ -459,7 +468,7 @@ def _families(met: DataFrame, nodes: DataFrame, measure: Measure) -> DataFrame:
     hubs = 1
     while True:
         pairs = shared.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "rep_a", "rep_b", "n_b", "sketch_a", "sketch_b")
+        sized = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "rep_a", "rep_b", "n_a", "sketch_a", "sketch_b")
         compared = materialise(sized.mapInArrow(_distances(measure), "node long, hub long, node_rep long, hub_rep long, near boolean, in_family boolean"), "compared")
         steps.append(compared)
         close = compared.filter("in_family").select(F.col("node_rep").alias("u"), F.col("hub_rep").alias("v"))
