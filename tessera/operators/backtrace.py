@@ -28,7 +28,7 @@ FOUND = ["status", "doc_id", "method", "tried", "resolved", "cid", "formula", "c
 def record_candidates(records: DataFrame, catalog: DataFrame, folder: str) -> DataFrame:
     """(record, doc_id, method, tried) of the candidate documents of `records` (record, file, title, doi), numbered from 1 in their order. A record's
     candidates do not depend on who asks: they are found once and written under `folder`."""
-    found = documents.candidates(records, "record", "file", "title", "doi", catalog, f"{folder}/keys").withColumnRenamed("row", "record")
+    found = documents.placed_candidates(records, "record", "file", "title", "doi", catalog, f"{folder}/keys").withColumnRenamed("row", "record")
     order = top_k(found, [F.col("record")], [F.col("place")], 2**31 - 1)
     return steps.written(order.select("record", "doc_id", "method", F.col("rank").alias("tried")), f"{folder}/candidates")
 

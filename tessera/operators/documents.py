@@ -36,35 +36,45 @@ def _marks(key: Column, least: int) -> Column:
     and a key has only about 2 / (w + 1) as many marks as characters."""
     q = (least + 2) // 2
     w = least - q + 1
-    grams = lambda chars: F.transform(F.sequence(F.lit(1), F.size(chars) - q + 1), lambda i: F.xxhash64(F.slice(chars, i, q)))
-    smallest = lambda h: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(h) - w + 1), lambda i: F.array_min(F.slice(h, i, w))))
+    grams = lambda chars: F.transform(F.sequence(F.lit(1), F.greatest(F.size(chars) - q + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(chars, i, q)))
+    smallest = lambda h: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(h) - w + 1, F.lit(1))), lambda i: F.array_min(F.slice(h, i, w))))
     return text.bound(text.bound(F.filter(F.split(key, ""), lambda x: x != ""), grams), smallest)
 
 
-def contained(parts: DataFrame, wholes: DataFrame, least: int, ratio: float = 0.0) -> DataFrame:
+def marked(keys: DataFrame, least: int) -> DataFrame:
+    """(id, size, n_marks, mark) of the distinct keys (column `key`) of `least` characters or more: numbers only, `id` a hash of the key."""
+    some = keys.filter(F.length("key") >= least).select("key").distinct()
+    told = some.select(F.xxhash64("key").alias("id"), F.length("key").alias("size"), _marks(F.col("key"), least).alias("marks"))
+    return told.select("id", "size", F.size("marks").alias("n_marks"), F.explode("marks").alias("mark"))
+
+
+def contained(parts: DataFrame, wholes: DataFrame, least: int, ratio: float = 0.0, marks: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """(part, whole): distinct keys (column `key`, `least` characters or more) of `parts` inside those of `wholes`, with at least `ratio` of their length.
 
-    A part meets, in an equi-join, only the wholes that have the mark of its own that the fewest wholes have; a part with a
-    mark that no whole has is gone before that. The index holds numbers only (mark, hash of the key, its length);
-    lengths are compared there, texts where pairs are left. No pair of keys is formed that shares no mark."""
-    key, size = F.col("key"), F.length("key")
-    named = lambda df: df.filter(size >= least).select("key").distinct()
-    marked = lambda df, side: named(df).select(F.xxhash64("key").alias(side), size.alias(f"{side}_size"), F.explode(_marks(key, least)).alias("mark"))
-    large = marked(wholes, "w")
+    Of the wholes' marks only those that parts have go on. A part all of whose marks are among them meets, in an equi-join, only the
+    wholes that have the mark of its own that the fewest wholes have; lengths are compared there, texts where pairs are left. No
+    pair of keys is formed that shares no mark. `marks` are the marks of parts and wholes, where they are known."""
+    small, every = marks or (marked(parts, least), marked(wholes, least))
+    large = every.join(small.select("mark").distinct(), "mark", "left_semi").select(F.col("id").alias("w"), F.col("size").alias("w_size"), "mark")
     counts = large.groupBy("mark").agg(F.count("*").alias("n"))
-    small = marked(parts, "p").join(counts, "mark", "left")
-    rarest = small.groupBy("p", "p_size").agg(F.min_by("mark", F.struct(F.coalesce("n", F.lit(0)), "mark")).alias("mark"), F.min(F.coalesce("n", F.lit(0))).alias("n"))
+    met = small.join(counts, "mark").groupBy(F.col("id").alias("p"), F.col("size").alias("p_size"), "n_marks")
+    rarest = met.agg(F.min_by("mark", F.struct("n", "mark")).alias("mark"), F.count("*").alias("there")).filter("there = n_marks")
     fits = (F.col("p_size") <= F.col("w_size")) & (F.col("p_size") >= ratio * F.col("w_size"))
-    met = rarest.filter("n > 0").join(large, "mark").filter(fits).select("p", "w").distinct()
-    texts = lambda df, side, name: named(df).select(F.xxhash64("key").alias(side), key.alias(name))
-    both = met.join(texts(parts, "p", "part"), "p").join(texts(wholes, "w", "whole"), "w")
+    pairs = rarest.join(large, "mark").filter(fits).select("p", "w").distinct()
+    texts = lambda df, side, name: df.filter(F.length("key") >= least).select("key").distinct().select(F.xxhash64("key").alias(side), F.col("key").alias(name))
+    both = pairs.join(texts(parts, "p", "part"), "p").join(texts(wholes, "w", "whole"), "w")
     return both.filter(F.contains("whole", F.col("part"))).select("part", "whole")
 
 
-def either_way(asked: DataFrame, known: DataFrame, least: int, ratio: float = 0.0) -> DataFrame:
-    """(asked, known): keys of which one contains the other, the shorter at least `ratio` of the longer; equal keys once."""
-    inside = contained(asked, known, least, ratio).toDF("asked", "known")
-    around = contained(known, asked, least, ratio).select(F.col("whole").alias("asked"), F.col("part").alias("known")).filter("asked <> known")
+def either_way(asked: DataFrame, known: DataFrame, least: int, ratio: float = 0.0, folder: str | None = None) -> DataFrame:
+    """(asked, known): keys of which one contains the other, the shorter at least `ratio` of the longer; equal keys once.
+
+    Marks are made once for both ways: they are written under `folder`, if there is one."""
+    a, k = marked(asked, least), marked(known, least)
+    if folder:
+        a, k = steps.written(a, f"{folder}/asked"), steps.written(k, f"{folder}/known")
+    inside = contained(asked, known, least, ratio, (a, k)).toDF("asked", "known")
+    around = contained(known, asked, least, ratio, (k, a)).select(F.col("whole").alias("asked"), F.col("part").alias("known")).filter("asked <> known")
     return inside.unionAll(around)
 
 
@@ -76,11 +86,17 @@ METHODS = ["doi", "filename", "filename_stem", "title_partial", "fuzzy"]
 
 
 def candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, known: DataFrame, folder: str | None = None) -> DataFrame:
+    """(row, doc_id, method): the candidate documents of each row, every document of a key that is met."""
+    return placed_candidates(rows, row_id, file, title, doi, known, folder, every=True).drop("place")
+
+
+def placed_candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, known: DataFrame, folder: str | None = None, every: bool = False) -> DataFrame:
     """(row, doc_id, method, place): candidate documents of each row in order of `place`; a document counts where it is met first.
 
     DOIs that are equal or contain one another, then file names (a name that a document has, else those that contain it or lie
     in it), then starts of titles either way, then the one document that is most like the row's names and title and not
-    met before. Of documents with one key the first is taken. A null or blank cell asks nothing.
+    met before. Of documents with one key the first is taken, so a title that many papers share is one candidate of a row and not all
+    of them (`every`: all of them). A null or blank cell asks nothing.
 
     What is asked, the catalogue's keys and the sure candidates are read several times: they are written under `folder`."""
     folder = folder or steps.shared_folder(rows.sparkSession, "candidates")
@@ -90,21 +106,21 @@ def candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, kn
     start = F.substring(F.trim(F.regexp_replace(text.clean_key(F.col(title)), r"[^a-z0-9]+", " ")), 1, TITLE_START)
     asked = rows.select(F.col(row_id).alias("row"), F.array_distinct(F.filter(files, lambda x: x != "")).alias("files"), start.alias("start"), text.clean_key(F.col(title)).alias("title"), text.clean_key(F.col(doi)).alias("doi"))
     asked = steps.written(asked, f"{folder}/asked")
-    first = lambda df: df.filter("key <> ''").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    first = lambda df: df.filter("key <> ''").distinct() if every else df.filter("key <> ''").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     of = lambda *names: [known.select(F.col(n).alias("key"), "doc_id") for n in names]
     dois, titles, names = first(of("doi_key")[0]), first(of("title_key")[0]), first(of("file_key", "stem_key")[0].unionAll(of("file_key", "stem_key")[1]))
     place = lambda group, at: F.struct(F.lit(group).alias("group"), at.cast("int").alias("at"), F.col("doc_id"))
     to_docs = lambda pairs, index: pairs.join(index.withColumnRenamed("key", "known"), "known").select("asked", "known", "doc_id")
 
     by_doi = asked.filter(F.length("doi") >= DOI_LEAST).select("row", F.col("doi").alias("asked"))
-    doi_pairs = either_way(by_doi.select(F.col("asked").alias("key")), dois, DOI_PART, DOI_RATIO)
+    doi_pairs = either_way(by_doi.select(F.col("asked").alias("key")), dois, DOI_PART, DOI_RATIO, f"{folder}/marks-doi")
     short = by_doi.filter(F.length("asked") < DOI_PART).join(dois, F.col("asked") == F.col("key")).select("row", "doc_id")
     met = [by_doi.join(to_docs(doi_pairs, dois), "asked").select("row", "doc_id").unionAll(short).select("row", "doc_id", F.lit("doi").alias("method"), place(0, F.lit(0)).alias("place"))]
 
     by_file = asked.select("row", F.posexplode("files").alias("at", "asked")).filter(F.length("asked") >= FILE_LEAST)
     keys = by_file.select(F.col("asked").alias("key")).distinct()
     exact = keys.join(names, "key").select(F.col("key").alias("asked"), "doc_id", F.lit("filename").alias("method"))
-    others = either_way(keys.join(names, "key", "left_anti"), names, FILE_LEAST - 1, FILE_RATIO)
+    others = either_way(keys.join(names, "key", "left_anti"), names, FILE_LEAST - 1, FILE_RATIO, f"{folder}/marks-file")
     named = exact.unionAll(to_docs(others, names).select("asked", "doc_id", F.lit("filename_stem").alias("method")))
     met.append(by_file.join(named, "asked").select("row", "doc_id", "method", place(1, F.col("at")).alias("place")))
 
@@ -112,7 +128,7 @@ def candidates(rows: DataFrame, row_id: str, file: str, title: str, doi: str, kn
     by_title = asked.filter((F.length("title") >= TITLE_LEAST) & (F.length("start") >= TITLE_LEAST)).select("row", F.col("start").alias("asked"))
     own = asked.select("row", F.explode(F.array_append("files", F.col("title"))).alias("asked")).filter(F.length("asked") >= FUZZY_LEAST).distinct()
     fields = known.select("doc_id", F.explode(F.array_distinct(F.array("file_key", "stem_key", "title_key"))).alias("key")).filter(F.length("key") >= FUZZY_LEAST)
-    pairs = steps.written(either_way(own.select("asked").unionAll(by_title.select("asked")).toDF("key"), fields, FUZZY_LEAST), f"{folder}/pairs")
+    pairs = steps.written(either_way(own.select("asked").unionAll(by_title.select("asked")).toDF("key"), fields, FUZZY_LEAST, 0.0, f"{folder}/marks"), f"{folder}/pairs")
     a, k = F.length("asked"), F.length("known")
     titled = pairs.filter((k >= TITLE_LEAST) & (F.least(a, k) >= TITLE_RATIO * F.greatest(a, k)))
     title_pairs = to_docs(titled, titles)

@@ -116,12 +116,12 @@ found AS (SELECT "row", doc_id, method, place FROM sure UNION ALL SELECT "row",
 
 @query("j_doc_candidates", f'WITH {CANDIDATES} SELECT "row", doc_id, method FROM found')
 def j_doc_candidates(spark, sf_dir):
-    return documents.candidates(records(spark, sf_dir), "record", "file", "title", "doi", catalog(spark, sf_dir)).drop("place")
+    return documents.placed_candidates(records(spark, sf_dir), "record", "file", "title", "doi", catalog(spark, sf_dir)).drop("place")
 
 
 @query("j_doc_first", f'WITH {CANDIDATES}, n AS (SELECT *, row_number() OVER (PARTITION BY "row" ORDER BY place, doc_id) AS nth FROM found) SELECT "row", doc_id, method FROM n WHERE nth = 1')
 def j_doc_first(spark, sf_dir):
-    return documents.first_candidate(documents.candidates(records(spark, sf_dir), "record", "file", "title", "doi", catalog(spark, sf_dir)))
+    return documents.first_candidate(documents.placed_candidates(records(spark, sf_dir), "record", "file", "title", "doi", catalog(spark, sf_dir)))
 
 
 def _audit_sql() -> str:
