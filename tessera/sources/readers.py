@@ -33,37 +33,38 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     return reader.option("sep", "\t").csv(path) if len(df.columns) == 1 and "\t" in df.columns[0] else df
 
 
+def separator(header: str) -> str:
+    """A tab where a header line has tabs and no comma, else a comma."""
+    return "\t" if "\t" in header and "," not in header else ","
+
+
 def read_csv_any(spark: SparkSession, path: str) -> DataFrame:
-    """As read_csv, in the first encoding that decodes the first file. Spark reads UTF-8 and Latin-1 itself; files in other
-    encodings are decoded whole by tasks and their lines parsed."""
+    """The rows of all files under a path as text columns, each file in the first encoding that decodes it, with its own separator.
 
-    def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for data in batch["content"]:
-                for encoding in ENCODINGS:
-                    try:
-                        bytes(data).decode(encoding)
-                        out.append(encoding)
-                        break
-                    except UnicodeDecodeError:
-                        continue
-            yield pd.DataFrame({"encoding": out})
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    encoding = files.limit(1).mapInPandas(fits, "encoding string").first()[0]
-    if encoding in ("utf-8-sig", "utf-8", "latin-1"):
-        return read_csv(spark, path, "ISO-8859-1" if encoding == "latin-1" else "UTF-8")
+    A file is one record of one task. Headers are aligned by name: the columns are those of all files in the order in which they are
+    first met, by file name and place, and a file without a column has nulls there; cells beyond a header are left out. The
+    names of columns are all that reaches the driver."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for data in batch["content"]:
-                lines = list(csv.reader(io.StringIO(bytes(data).decode(encoding, "replace"))))
-                yield pd.DataFrame({"header": [lines[0]] * (len(lines) - 1), "cells": lines[1:]})
-
-    parsed = files.mapInPandas(rows, "header array<string>, cells array<string>")
-    first = parsed.select("header").first()
-    return parsed.select(*[F.get("cells", i).alias(name) for i, name in enumerate(first[0] if first else [])])
+            for file, data in zip(batch["path"], batch["content"], strict=True):
+                text = decode(bytes(data)).removeprefix("\ufeff")
+                lines = csv.reader(io.StringIO(text), delimiter=separator(text.partition("\n")[0]))
+                header = [h.strip() for h in next(lines, [])]
+                held: list[dict] = []
+                for line in lines:
+                    if line:
+                        held.append(dict(zip(header, line, strict=False)))
+                    if len(held) == 5000:
+                        yield pd.DataFrame({"file": file, "header": [header] * len(held), "cells": held})
+                        held = []
+                yield pd.DataFrame({"file": file, "header": [header] * len(held), "cells": held}) if held else pd.DataFrame({"file": [file], "header": [header], "cells": [None]})
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    parsed = files.mapInPandas(rows, "file string, header array<string>, cells map<string,string>")
+    named = parsed.select("file", "header").distinct().select("file", F.posexplode("header").alias("at", "name")).filter("name <> ''")
+    names = named.groupBy("name").agg(F.min(F.struct("file", "at")).alias("first")).orderBy("first").select("name").collect()
+    return parsed.filter("cells is not null").select(*[F.col("cells")[r["name"]].alias(r["name"]) for r in names])
 
 
 def read_table(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:

@@ -65,6 +65,17 @@ def test_csv_in_another_encoding(spark, tmp_path):
     assert [tuple(r) for r in readers.read_csv_any(spark, str(path)).collect()] == [("水", "1")]
 
 
+def test_folder_of_files_in_their_own_encodings(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("名称,v\n水,1\n".encode("gbk"))
+    (tmp_path / "b.csv").write_bytes("\ufeffv,名称,extra\n2,油,x\n3,\"a,b\",\n".encode())
+    (tmp_path / "c.csv").write_bytes("名称\tv\n盐\t4\t9\n".encode("gb18030"))
+    (tmp_path / "d.csv").write_bytes("v,other\n".encode())
+    (tmp_path / "e.csv").write_bytes(b"")
+    got = readers.read_csv_any(spark, str(tmp_path))
+    assert got.columns == ["名称", "v", "extra", "other"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("水", "1", None, None), ("油", "2", "x", None), ("a,b", "3", "", None), ("盐", "4", None, None)], key=repr)
+
+
 def test_archive(spark, tmp_path):
     import zipfile
 
