@@ -211,20 +211,6 @@ def core_name(c: Column) -> Column:
     return F.when(t == "", s).otherwise(t)
 
 
-#: What is cut from the start of a candidate name, one after another.
-CANDIDATE_STARTS = [
-    r"(?i)^(the|a|an|this|these|those|its|their|our|some|such)\s+",
-    r"(?i)^(followed by|modified by|detected in|used as|reported that|immersed in|coated with|based on|according to|prepared from|obtained from|dissolved in|mixed with|"
-    r"added to|placed in|soaked in|dipped in|treated with|blended with|combined with|consisting of|composed of|derived from|resulting from|attributed to|referred to as|"
-    r"known as|described as)\s+",
-    r"(?i)^(and|or|but|also|then|yet|nor)\s+",
-    r"(?i)^(in this paper|in this study|in this work|here|namely|such as|including|e\.g\.,?|i\.e\.,?|for example|for instance)\s*[,:]?\s*",
-    r"(?i)\b(and|or|with|for|of|as|by|in|on|at|to)\s*$",
-]
-CANDIDATE_VERBS = r"(?i)^.*?\b(namely|is|was|were|denoted as|abbreviated as|stands for|means|refers to|defined as|called|named)\b\s*"
-CANDIDATE_LEADS = r"(?i)^(followed by|modified by|detected in|coated with|immersed in|role of|which comprised of|as well as|illustrates the structure of)\s+"
-
-
 def edge(c: Column) -> Column:
     return F.regexp_replace(c, r"^[ ,;:\-]+|[ ,;:\-]+$", "")
 
@@ -232,10 +218,10 @@ def edge(c: Column) -> Column:
 def cleanup_candidate(c: Column) -> Column:
     """A candidate phrase without determiners, connectors and what comes before its naming verb."""
     t = norm_text_doc(c)
-    for pattern in CANDIDATE_STARTS:
+    for pattern in fixed.CANDIDATE_STARTS:
         t = F.regexp_replace(t, pattern, "")
-    t = edge(F.regexp_replace(edge(t), CANDIDATE_VERBS, ""))
-    t = F.regexp_replace(F.regexp_replace(t, CANDIDATE_LEADS, ""), r"^[a-z]{1,2}\s+([a-z].*)$", "$1")
+    t = edge(F.regexp_replace(edge(t), fixed.CANDIDATE_VERBS, ""))
+    t = F.regexp_replace(F.regexp_replace(t, fixed.CANDIDATE_LEADS, ""), r"^[a-z]{1,2}\s+([a-z].*)$", "$1")
     return edge(t)
 
 

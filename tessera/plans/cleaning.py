@@ -102,10 +102,12 @@ COMPONENT = drop(
     "name", "(?i)\\b(modified|crosslinked|sulfonated|nitro|anhydrous|free|mixed|aromatic|thin-film|composite|support|membrane|nanoparticles|netting|fabric|substrate|bilayer|self-standing|amorphous|porous)\\b",
     "@.*", "/.*", "-\\d+[A-Z]?$", "\\s+\\d+$",
 )
-PROCESS = (
-    "\\b(drying|blowing|without|with|post[- ]treatment|pretreatment|curing|aging|annealing|calcination|soaking|immersion|rinsing|washing|stir|stirring|sonication|ultrasonic|vacuum|air|natural|"
-    "temperature|rt|room temperature|min|h|hour|hours|day|days)\\b|°c|℃"
-)
+# ---- fixed values: conditions of a process, one entry a rule ----
+PROCESS = "|".join([
+    "\\bdrying\\b", "\\bblowing\\b", "\\bwithout\\b", "\\bwith\\b", "\\bpost[- ]treatment\\b", "\\bpretreatment\\b", "\\bcuring\\b", "\\baging\\b", "\\bannealing\\b",
+    "\\bcalcination\\b", "\\bsoaking\\b", "\\bimmersion\\b", "\\brinsing\\b", "\\bwashing\\b", "\\bstir(ring)?\\b", "\\bsonication\\b", "\\bultrasonic\\b", "\\bvacuum\\b", "\\bair\\b",
+    "\\bnatural\\b", "°c", "℃", "\\btemperature\\b", "\\brt\\b", "\\broom temperature\\b", "\\bmin\\b", "\\bh\\b", "\\bhour(s)?\\b", "\\bday(s)?\\b",
+])
 LOW = f"lower({strip('name')})"
 WORDS = f"regexp_split_to_array({LOW}, '\\s+')"
 GENERAL, PROPERTY, METHOD = (sql_list(x) for x in (cleaning.GENERAL_WORDS, cleaning.PROPERTY_WORDS, cleaning.METHOD_WORDS))
@@ -115,10 +117,13 @@ TOO_GENERAL = f"""({LOW} = '' OR len({WORDS}) = 1 AND (list_contains({GENERAL} |
   OR len({WORDS}) <= 2 AND len(list_filter({WORDS}, lambda w: length(w) >= 2 AND NOT list_contains({GENERAL}, regexp_replace(w, '[^a-z]', '', 'g')))) = 0
   OR regexp_full_match({LOW}, '(the|a|an|this|these|some|other|various|several)\\s+\\w+'))"""
 LIQUID = "ethanol|methanol|isopropanol|propanol|butanol|glycerol|glycerin|acetone|acetonitrile|dmf|dmac|nmp|hexane|heptane|toluene|xylene|isopar|cyclohexanone|triethylamine|tea|aptes|teos|silane|iptes|mptms|tms|dopamine solution"
-SOLID = (
-    "nacl|licl|sls|sds|mpd|m-phenylenediamine|piperazine|pip|tmc|trimesoyl chloride|camphorsulfonic acid|csa|pvp|peg|pei|dopamine hydrochloride|go|graphene oxide|nanoparticle|nanotube|oxide|"
-    "zeolite|mof|salt|powder|particle|chloride|sulfate|nitrate"
-)
+# ---- fixed values: words of solids, then parts of words ----
+SOLID_WORDS = [
+    "nacl", "licl", "sls", "sds", "mpd", "m-phenylenediamine", "piperazine", "pip", "tmc", "trimesoyl chloride", "camphorsulfonic acid", "csa", "pvp", "peg", "pei",
+    "dopamine hydrochloride", "go", "graphene oxide", "nanoparticle", "nanotube", "oxide", "zeolite", "mof", "salt", "powder", "particle", "chloride", "sulfate",
+]
+SOLID_PARTS = ["chloride", "sulfate", "nitrate", "oxide", "nanoparticle", "powder", "salt"]
+SOLID = "|".join(SOLID_WORDS + SOLID_PARTS)
 FORM = f"CASE WHEN slot = 'test_nacl' THEN 'solid' WHEN {has(LOW, LIQUID)} THEN 'liquid' WHEN {has(LOW, SOLID)} THEN 'solid' WHEN {has(LOW, 'alcohol|amine')} THEN 'liquid' ELSE 'unknown' END"
 PHASE = f"""CASE slot WHEN 'aqueous_monomer' THEN 'aqueous|column_hint|' || coalesce(nullif(aqueous, ''), 'water') WHEN 'organic_monomer' THEN 'organic|column_hint|' || organic
   WHEN 'test_nacl' THEN 'test_aqueous|column_hint|water' ELSE CASE WHEN {has('lower(context)', 'aqueous|water|水相')} THEN 'aqueous|row_context|' || coalesce(nullif(aqueous, ''), 'water')

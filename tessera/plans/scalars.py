@@ -186,10 +186,10 @@ def core(x: str) -> str:
 
 def candidate(x: str) -> str:
     t = doc(x)
-    for p in text.CANDIDATE_STARTS:
+    for p in fixed.CANDIDATE_STARTS:
         t = f"regexp_replace({t}, '{p}', '')"
-    t = edge(f"regexp_replace({edge(t)}, '{text.CANDIDATE_VERBS}', '')")
-    t = f"regexp_replace(regexp_replace({t}, '{text.CANDIDATE_LEADS}', ''), '^[a-z]{{1,2}}\\s+([a-z].*)$', '\\1')"
+    t = edge(f"regexp_replace({edge(t)}, '{fixed.CANDIDATE_VERBS}', '')")
+    t = f"regexp_replace(regexp_replace({t}, '{fixed.CANDIDATE_LEADS}', ''), '^[a-z]{{1,2}}\\s+([a-z].*)$', '\\1')"
     return edge(t)
 
 
