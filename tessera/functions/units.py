@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import fixed
 from tessera.functions.predicates import any_of
-from tessera.functions.text import norm_key, norm_text, solvent_name
+from tessera.functions.text import bound, norm_key, norm_text, solvent_name
 
 
 def lookup(c: Column, table: dict[str, object]) -> Column:
@@ -26,14 +26,16 @@ def repair_unit(c: Column) -> Column:
     t = F.trim(F.regexp_replace(t, r"(?i)\b(of|in)\b.*$", ""))
     t = F.regexp_replace(t, r"(?i)w\s*/\s*v\s*\.\s*%", "w/v%")
     t = F.regexp_replace(t, r"(?i)wt\s*/\s*v(?:ol)?\s*%", "wt/v%")
-    return F.trim(F.regexp_replace(F.when(t.rlike(r"(?i)^%\s*\(aqueous\)$"), "%").otherwise(t), r"\s+", " "))
+    return bound(t, lambda x: F.trim(F.regexp_replace(F.when(x.rlike(r"(?i)^%\s*\(aqueous\)$"), "%").otherwise(x), r"\s+", " ")))
 
 
 def normalize_unit(c: Column) -> Column:
     """struct(unit, family, detail) of a unit text; the first family that knows the spelling decides."""
-    raw = repair_unit(c)
-    key = F.translate(F.regexp_replace(F.lower(raw), r"\s+", ""), "[]{}", "()()")
-    low = F.lower(raw)
+    key = lambda raw: F.translate(F.regexp_replace(F.lower(raw), r"\s+", ""), "[]{}", "()()")
+    return bound(repair_unit(c), lambda raw: bound(key(raw), lambda k: bound(F.lower(raw), lambda low: _unit_of(raw, k, low))))
+
+
+def _unit_of(raw: Column, key: Column, low: Column) -> Column:
     out = lambda unit, family, detail="": F.struct(unit.alias("unit"), F.lit(family).alias("family"), F.lit(detail).alias("detail"))
     table = lambda values: lookup(key, values)
     return (

@@ -315,7 +315,7 @@ spec("p_should_llm", lambda: predicates.should_judge(units.normalize_unit(c("uni
     f"({FAM} = 'percent_ambiguous' OR ({FAM} = 'molarity' AND {norm('name')} = '') OR (slot NOT IN ('aqueous_monomer', 'test_nacl', 'organic_monomer') AND NOT {one_of(key('name'), fixed.AQUEOUS_SOLUTES)} AND NOT {one_of(key('name'), fixed.ORGANIC_SOLUTES)}))"
 ))
 spec("p_wt_sane", lambda: predicates.within_weight_percent(numbers.parse_number(c("value"))), f"coalesce({number(chr(34) + 'value' + chr(34))} BETWEEN 0.0 AND 100.0001, false)")
-spec("p_tb_sane", lambda: numbers.number_sanity(c("value"), units.normalize_unit(c("unit"))["family"], units.normalize_unit(c("unit"))["unit"]), sanity('"value"', FAM, U))
+spec("p_tb_sane", lambda: text.bound(units.normalize_unit(c("unit")), lambda u: numbers.number_sanity(c("value"), u["family"], u["unit"])), sanity('"value"', FAM, U))
 spec("p_tb_noise", lambda: predicates.is_reference_noise(c("doi"), F.lit(0), F.lit(5)), "regexp_matches(lower(substr(doi, 1, 105)), 'doi|http')")
 spec("p_abbr_like", lambda: predicates.looks_like_abbreviation(c("name")), abbr_like("name"))
 spec("p_abbr_like_dic", lambda: predicates.looks_like_alias(c("name")), f"(regexp_matches(trim(name), '^[A-Za-z0-9\\-]{{2,10}}$') AND {keep('name', 'A-Z')} >= 2)")
