@@ -6,6 +6,7 @@ service like a missing row. Each hop is one equi-join of what is still open; not
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import text
@@ -20,18 +21,21 @@ def best_number(asked: DataFrame, keys: list[str], query: str, numbers: str, pro
     """`keys`, cid, iupac, formula, score: of each row's first MOST numbers the one whose name is most like the query, the first of equals.
 
     `properties` has cid, iupac, formula. The exact ratio is computed last: a ratio is at most 2 * shorter / both lengths, and just
-    that where one name lies in the other, so rows that cannot reach a score that is known already go before it."""
+    that where one name lies in the other, so rows that cannot reach a score that is known already go before it.
+    A row's numbers are at most MOST, so the best of them is found in a window and not joined back."""
     tried = asked.select(*keys, F.lower(F.col(query)).alias("q"), F.posexplode(F.slice(F.col(numbers), 1, MOST)).alias("at", "cid"))
-    known = tried.join(properties.select("cid", "iupac", "formula"), "cid").withColumn("name", F.lower(F.coalesce("iupac", F.lit(""))))
+    # sorted, since a side that looks small in a shuffle's compressed blocks would be collected and hashed by the driver
+    known = tried.join(properties.select("cid", "iupac", "formula").hint("merge"), "cid").withColumn("name", F.lower(F.coalesce("iupac", F.lit(""))))
     a, b = F.length("q"), F.length("name")
     bound = 2.0 * F.least(a, b) / F.greatest(a + b, F.lit(1))
     holds = F.when(F.contains("name", F.col("q")), HOLDS).otherwise(0.0)
     sure = F.when(F.col("name") == "", UNNAMED).when((F.contains("name", F.col("q")) | F.contains("q", F.col("name"))) & (a < NOISY) & (b < NOISY), bound + holds)
     rated = known.withColumns({"sure": sure, "most": F.coalesce(sure, bound + holds), "holds": holds})
-    reached = rated.groupBy(*keys).agg(F.max("sure").alias("reached"))
-    left = rated.join(reached, keys).filter(F.coalesce(F.col("most") >= F.col("reached"), F.lit(True)))
-    exact = left.filter("sure is null").withColumn("score", text.similarity(F.col("q"), F.col("name")) + F.col("holds"))
-    every = left.filter("sure is not null").withColumn("score", F.col("sure")).unionByName(exact)
+    reached = F.max("sure").over(W.partitionBy(*keys))
+    left = rated.withColumn("reached", reached).filter(F.coalesce(F.col("most") >= F.col("reached"), F.lit(True)))
+    open_ = F.col("sure").isNull()
+    ratio = text.similarity(F.when(open_, F.col("q")), F.when(open_, F.col("name")))
+    every = left.withColumn("ratio", ratio).withColumn("score", F.coalesce("sure", F.col("ratio") + F.col("holds")))
     best = every.groupBy(*keys).agg(F.max_by(F.struct("cid", "iupac", "formula", "score"), F.struct("score", -F.col("at"))).alias("x"))
     return best.select(*keys, "x.*")
 
