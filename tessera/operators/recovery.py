@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import fixed, numbers, predicates, text, units
 from tessera.operators.lookup import keep_first, top_k
 
-PATTERN = "(?i)" + fixed.TEXT_NUMBER + "(" + "|".join(fixed.TEXT_UNITS) + ")"
+PATTERN = predicates.ascii_edges("(?i)" + fixed.TEXT_NUMBER + "(" + "|".join(fixed.TEXT_UNITS) + ")")
 #: Characters beside a number that are read for purchases; points that a name at hand is worth at most.
 BESIDE, AT_HAND = 40, 18
 
