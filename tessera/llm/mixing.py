@@ -13,6 +13,7 @@ of the input that clash with result names are replaced."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import behind_plain_names, id_text_batches, labelled_sample, materialise
+from tessera.llm.common import behind_plain_names, discard, id_text_batches, labelled_sample, materialise
 from tessera.llm.shingles import PIECE, U64, mix, word_hashes
 
 #: Labelled rows the classifier is fitted on, at most; hashed features, and those kept by the fit.
@@ -158,10 +159,11 @@ def fit_rates(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str,
     return weighted.withColumns({"rate": rate_column([F.col(f"p_{d}") for d in domains], steps), "residual": F.lit(residual)})
 
 
-def rate_column(ps: list[Column], steps: list[list[float]]) -> Column:
-    """The rate that a row with posteriors `ps` has after the given steps: every step is the same for all rows."""
+def rate_column(ps: list[Column], steps: list[list[float]], most: float | None = None) -> Column:
+    """The rate, `most` at most, that a row with posteriors `ps` has after the given steps: every step is the same for all rows."""
+    bound = (lambda x: F.least(F.lit(most), x)) if most is not None else (lambda x: x)
     table = F.array(*[F.array(*map(F.lit, s)) for s in steps]) if steps else F.array().cast("array<array<double>>")
-    return F.aggregate(table, F.lit(1.0), lambda rate, s: F.greatest(F.lit(0.0), rate - reduce(add, [p * s[i] for i, p in enumerate(ps)])))
+    return F.aggregate(table, F.lit(1.0), lambda rate, s: bound(F.greatest(F.lit(0.0), rate - reduce(add, [p * s[i] for i, p in enumerate(ps)]))))
 
 
 def fit_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], budget: float = 1.0, rounds: int = ROUNDS) -> tuple[list[list[float]], float]:
@@ -201,45 +203,74 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budge
 def mixed(docs: DataFrame, classifier: Classifier, targets: dict[str, float], anchor: str, seed: int = 11) -> DataFrame:
     """`docs` thinned out to the target shares of expected tokens: no row comes out twice.
 
-    Every row whose most probable domain is the anchor stays, once. The rows of each other domain stay with one rate, of at
-    most 1, which the row's own hash decides; a domain that has less than its share stays whole. Texts are classified
-    twice rather than written."""
+    Every row whose most probable domain is the anchor stays, once. Every other row has a rate of its own between 0 and 1, which its posteriors
+    decide (see bounded_steps) and by which its own hash keeps it. How far the shares are from the targets is told as a warning,
+    where they can not be met. Texts are classified twice rather than written; the posteriors are, while rates are fitted."""
 
     def thin(rows: DataFrame) -> DataFrame:
         weighted = posteriors(rows, classifier)
-        rates = kept_rates(weighted, classifier.domains, targets, anchor)
-        rate = F.element_at(F.array(*map(F.lit, rates)), most_probable(classifier.domains, anchor))
+        narrow = materialise(weighted.select("n_tokens", *(f"p_{d}" for d in classifier.domains)), "posteriors")
+        steps, residual = bounded_steps(narrow, classifier.domains, targets, anchor)
+        discard(narrow)
+        if residual > CLOSE:
+            warnings.warn(f"mixing: a domain's tokens are {residual:.4f} of all tokens away from their target", stacklevel=2)
         chance = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in rows.columns], F.lit(seed)), F.lit(1_000_003)) / 1_000_003
-        return weighted.filter(chance < rate)
+        return weighted.filter(chance < bounded_rate(classifier.domains, targets, anchor, steps))
 
     return behind_plain_names(docs, thin, ["n_tokens", *(f"p_{d}" for d in classifier.domains)])
 
 
-def most_probable(domains: tuple[str, ...], anchor: str) -> Column:
-    """The place from 1 of the most probable domain; the anchor wins ties, then the first."""
-    best = F.array_position(F.array(*[F.col(f"p_{d}") for d in domains]), F.greatest(*[F.col(f"p_{d}") for d in domains], F.lit(0.0)))
-    return F.when(F.col(f"p_{anchor}") >= F.greatest(*[F.col(f"p_{d}") for d in domains], F.lit(0.0)), domains.index(anchor) + 1).otherwise(best).cast("int")
-
-
-def kept_rates(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], anchor: str) -> list[float]:
-    """The rate of each domain's rows, by bounded least squares on the expected tokens of each domain beyond its share.
-
-    One row for each domain reaches the driver."""
-    k, at = len(domains), domains.index(anchor)
-    sums = weighted.groupBy(most_probable(domains, anchor).alias("d")).agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{d}")).alias(f"s{i}") for i, d in enumerate(domains)])
-    tokens = np.zeros((k, k))
-    for r in sums.collect():
-        tokens[r["d"] - 1] = [r[f"s{i}"] or 0.0 for i in range(k)]
-    others = [i for i in range(k) if i != at]
-    ratio = np.array([targets.get(domains[i], 0.0) for i in others]) / max(targets[anchor], 1e-12)
-    beyond = tokens[:, others] - np.outer(tokens[:, at], ratio)  # of rows of each domain, over each other domain's share
-    found = np.ones(k)
-    for _ in range(ROUNDS * 10):
-        before = found.copy()
-        for i in others:
-            if square := beyond[i] @ beyond[i]:
-                rest = found @ beyond - found[i] * beyond[i]
-                found[i] = np.clip(-(rest @ beyond[i]) / square, 0.0, 1.0)
-        if np.abs(found - before).max() < 1e-9:
+def beyond(domains: tuple[str, ...], targets: dict[str, float], anchor: str) -> list[Column]:
+    """How far a token of a row brings each other domain beyond its share, measured by the anchor's tokens."""
+    ratio = {d: targets.get(d, 0.0) / max(targets[anchor], 1e-12) for d in domains if d != anchor}
+    return [F.col(f"p_{d}") - r * F.col(f"p_{anchor}") for d, r in ratio.items()]
+
+
+def is_anchor(domains: tuple[str, ...], anchor: str) -> Column:
+    return F.col(f"p_{anchor}") >= F.greatest(*[F.col(f"p_{d}") for d in domains], F.lit(0.0))
+
+
+def bounded_rate(domains: tuple[str, ...], targets: dict[str, float], anchor: str, steps: list[list[float]]) -> Column:
+    """The rate of a row after the given steps, each projected onto 0 to 1; rows of the anchor have 1."""
+    return F.when(is_anchor(domains, anchor), F.lit(1.0)).otherwise(rate_column(beyond(domains, targets, anchor), steps, most=1.0))
+
+
+def bounded_steps(weighted: DataFrame, domains: tuple[str, ...], targets: dict[str, float], anchor: str, rounds: int = ROUNDS) -> tuple[list[list[float]], float]:
+    """Projected gradient steps on the tokens of each other domain beyond its share, and what is left of them at worst, as a share of all tokens.
+
+    As in fit_steps a round is one pass, and residuals are weighted by an inverse Gram matrix: that of the rows within their bounds,
+    as long as such steps bring the weighted residuals down, then that of all rows but the anchor's, which does for a step of length 1; longer
+    ones are tried while they do. Rates start from 1. Targets that can not be met may not be met as nearly as possible after `rounds` rounds."""
+    vs, rate = beyond(domains, targets, anchor), F.col("rate")
+    k = len(vs)
+    tokens = F.col("n_tokens").cast("double")
+    kept: list[list[float]] = []
+    tried, best, all_rows, quick, length = kept, None, None, True, 4.0
+    for _ in range(rounds + 1):
+        rated = weighted.select(tokens.alias("n"), bounded_rate(domains, targets, anchor, tried).alias("rate"), (~is_anchor(domains, anchor)).alias("moves"), *[v.alias(f"v{i}") for i, v in enumerate(vs)])
+        free = F.col("n") * (F.col("moves") & ((rate > 0) & (rate < 1) if tried else F.lit(True))).cast("double")
+        got = rated.agg(
+            F.sum(F.col("n") * rate).alias("kept"),
+            *[F.sum(F.col("n") * rate * F.col(f"v{i}")).alias(f"s{i}") for i in range(k)],
+            *[F.sum(free * F.col(f"v{i}") * F.col(f"v{j}")).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
+        ).first()
+        residual = np.array([got[f"s{i}"] or 0.0 for i in range(k)])
+        gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+        inverse = np.linalg.inv(gram + np.eye(k) * max(1e-9 * np.trace(gram), 1e-12))
+        all_rows = inverse if all_rows is None else all_rows
+        far = float(residual @ all_rows @ residual)
+        better = best is None or far < best[0] * (1 - 1e-6)
+        if better:
+            kept, best = tried, (far, residual, float(np.abs(residual).max(initial=0.0) / (got["kept"] or 1.0)))
+            length = length if quick else length * 4
+            quick = quick and bool(np.trace(gram) > 0)
+        elif quick:
+            quick = False
+        elif length > 1:
+            length = max(length / 8, 1.0)
+        else:
+            break
+        if best[2] <= CLOSE:
             break
-    return [float(x) for x in found]
+        tried = [*kept, [float(x) for x in (inverse if quick else all_rows * length) @ best[1]]]
+    return kept, best[2]
