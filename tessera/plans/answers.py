@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import answers
+from tessera.functions import answers, text
 from tessera.operators import cache, compounds, lookup, steps
 from tessera.plans.adapters import pick
 
@@ -50,8 +50,10 @@ _SAMPLE = f"a AS (SELECT p_partkey AS id, p_name AS name, p_partkey % {len(ANSWE
 
 @query("x_json_loose", f"WITH {_SAMPLE}, e(k, kind, action, first_action) AS (VALUES (0, true, NULL, NULL), (1, true, 'query_pubchem', 'query_pubchem'), (2, true, 'drop', 'drop'), (3, true, 'fly', 'fly'), (4, false, NULL, NULL), (5, false, NULL, NULL), (6, false, NULL, NULL), (7, false, NULL, NULL)) SELECT id, kind AS is_object, action, first_action FROM a JOIN e USING (k)")
 def x_json_loose(spark, sf_dir):
-    rows = answered(spark, sf_dir).select("id", answers.loose_object(c("answer")).alias("v"), answers.first_object(c("answer")).alias("f"))
-    return rows.select("id", c("v").isNotNull().alias("is_object"), F.try_variant_get("v", "$.action", "string").alias("action"), F.try_variant_get("f", "$.action", "string").alias("first_action"))
+    loose = lambda v: F.struct(v.isNotNull().alias("is_object"), F.try_variant_get(v, "$.action", "string").alias("action"))
+    first = lambda v: F.try_variant_get(v, "$.action", "string")
+    told = F.struct(text.bound(answers.loose_object(c("answer")), loose).alias("v"), text.bound(answers.first_object(c("answer")), first).alias("first_action"))
+    return lookup.once_each(answered(spark, sf_dir).select("id", "answer"), ["answer"], "x", told).select("id", "x.v.*", "x.first_action")
 
 
 @query("x_components_norm", f"""WITH {_SAMPLE}, e(k, name, role, rank, equivalent_group) AS (VALUES (0, 'TMC', 'primary', 1::BIGINT, ''), (0, 'MPD', 'co_component', 2, ''), (0, '7', 'co_component', 5, ''),

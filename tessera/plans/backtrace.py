@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed, gates, predicates, text
-from tessera.operators import backtrace, documents, resolve, steps
+from tessera.operators import backtrace, documents, lookup, resolve, steps
 from tessera.plans import scalars as q
 from tessera.plans.adapters import CELLS_SQL, cells, pick, sql_pick
 
@@ -237,12 +237,14 @@ def p_chase(spark, sf_dir):
   j AS (SELECT id, asked, {_trusted('asked')} AND (id % 2 = 1 OR {_expansion('s')}) AS accepted, {_ONE} AS one FROM cuts)
   SELECT id, accepted, CASE WHEN accepted THEN asked ELSE '' END AS clean_name, CASE WHEN NOT accepted THEN 'NO_CLUE' WHEN one THEN 'SPECIFIC_CHEMICAL' ELSE 'NO_SPECIFIC_CHEMICAL' END AS entity_type, CASE WHEN accepted THEN 0.62::DOUBLE ELSE 0.0::DOUBLE END AS confidence FROM j""")
 def st_align_gate(spark, sf_dir):
-    return phrases(spark, sf_dir).select("id", gates.aligned(c("phrase"), c("id") % 2 == 0).alias("x")).select("id", "x.*")
+    asked = phrases(spark, sf_dir).withColumn("abbreviation", c("id") % 2 == 0)
+    return lookup.once_each(asked, ["phrase", "abbreviation"], "x", gates.aligned(c("phrase"), c("abbreviation"))).select("id", "x.*")
 
 
 @query("s_tokens_bt")
 def s_tokens_bt(spark, sf_dir):
-    return cells(spark, sf_dir).select("id", F.array_join(gates.search_tokens(c("name"), c("other")), "|").alias("tokens"))
+    asked = cells(spark, sf_dir).select("id", "name", "other")
+    return lookup.once_each(asked, ["name", "other"], "tokens", F.array_join(gates.search_tokens(c("name"), c("other")), "|")).select("id", "tokens")
 
 
 def _audit_tokens_sql() -> str:
