@@ -102,20 +102,28 @@ def first_occurrences(text: Column, token: Column, most: int = 3, radius: int =
 
 def context_captures(token: Column, context: Column) -> Column:
     """array of struct(raw, score, rule, evidence): what each rule's pattern, built from the row's own token, captures in the
-    context; rules in order of score, captures in order of place. Class hints come last, with an empty `raw`."""
+    context; rules in order of score, captures in order of place. Class hints come last, with an empty `raw`.
+
+    A pattern that begins with a name tries every letter of the context as its start, so what follows the name is sought first."""
     t = norm_text_doc(token)
     quoted = F.concat(F.lit(r"\Q"), t, F.lit(r"\E"))
     told = lambda score, rule: lambda x: F.struct(x["raw"].alias("raw"), F.lit(score).alias("score"), F.lit(rule).alias("rule"), x["evidence"].alias("evidence"))
+    nothing = F.array().cast("array<struct<raw:string,score:double,rule:string,evidence:string>>")
+
+    def of_token(pattern: str) -> Column:
+        before, *after = pattern.split("{token}")
+        return F.concat(F.lit("(?i)" + before), quoted, F.lit("{token}".join(after)))
+
     found = []
     for pattern, score, rule in fixed.CONTEXT_RULES:
-        before, *after = pattern.split("{token}")
-        p = F.concat(F.lit("(?i)" + before), quoted, F.lit("{token}".join(after)))
+        p = of_token(pattern)
         pairs = F.arrays_zip(F.regexp_extract_all(context, p, F.lit(1)).alias("raw"), F.regexp_extract_all(context, p, F.lit(0)).alias("evidence"))
-        found.append(F.transform(pairs, told(score, rule)))
+        caught = F.transform(pairs, told(score, rule))
+        rest = pattern.removeprefix(fixed.NAME_TEXT)
+        found.append(caught if rest == pattern else F.when(F.rlike(context, of_token(rest)), caught).otherwise(nothing))
     hint = F.concat(F.lit(r"(?i)(?<![A-Za-z0-9])"), quoted, F.lit(r"(?![A-Za-z0-9]).{0,150}?" + fixed.CLASS_HINTS))
     hints = F.regexp_extract_all(context, hint, F.lit(0))
     found.append(F.transform(hints, lambda x: F.struct(F.lit("").alias("raw"), F.lit(0.35).alias("score"), F.lit("class_hint").alias("rule"), x.alias("evidence"))))
-    nothing = F.array().cast("array<struct<raw:string,score:double,rule:string,evidence:string>>")
     return F.when((t != "") & (F.coalesce(context, F.lit("")) != ""), F.concat(*found)).otherwise(nothing)
 
 
@@ -133,9 +141,11 @@ def context_candidates(token: Column, context: Column) -> Column:
     named = F.transform(context_captures(token, context), lambda x: F.struct(
         F.when(x["rule"] == "class_hint", "").otherwise(captured_name(x["raw"])).alias("candidate"), x["score"].alias("score"), x["rule"].alias("rule"),
         F.substring(norm_text_doc(x["evidence"]), 1, 700).alias("evidence")))
-    good = F.filter(named, lambda x: (x["rule"] == "class_hint") | ~is_bad_candidate(x["candidate"]))
-    low = F.transform(good, lambda x: F.lower(x["candidate"]))
-    return F.filter(good, lambda x, i: (x["rule"] == "class_hint") | (F.array_position(low, F.lower(x["candidate"])) == i + 1))
+    hinted = lambda x: x["rule"] == "class_hint"
+    good = F.filter(named, lambda x: hinted(x) | ~bound(x["candidate"], is_bad_candidate))
+    lowered = lambda good: F.transform(good, lambda x: F.lower(x["candidate"]))
+    # each step is bound: a filter that reads a step itself would compute it again for each of its elements
+    return bound(good, lambda good: bound(lowered(good), lambda low: F.filter(good, lambda x, i: hinted(x) | (F.array_position(low, F.lower(x["candidate"])) == i + 1))))
 
 
 def registry_query(c: Column) -> Column:

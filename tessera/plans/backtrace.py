@@ -319,7 +319,7 @@ def _bad(x: str) -> str:
 
 @query("x_candidates_ctx", _captures_sql())
 def x_candidates_ctx(spark, sf_dir):
-    return contexts(spark, sf_dir).select("id", F.explode(gates.context_candidates(c("token"), c("context"))).alias("x")).select("id", "x.*")
+    return lookup.dealt(contexts(spark, sf_dir)).select("id", F.explode(gates.context_candidates(c("token"), c("context"))).alias("x")).select("id", "x.*")
 
 
 # ------------------------------------------------------------------ the program
