@@ -157,18 +157,20 @@ def row_solvent(columns: dict[str, Column], phase: Column) -> Column:
     for n, v in columns.items():
         if _mentions(n, fixed.SOLVENT_COLUMNS):
             (water if _mentions(n, fixed.WATER_COLUMNS) else oil if _mentions(n, fixed.OIL_COLUMNS) else general).append(text.solvent_name(v))
-    last = lambda some: F.coalesce(*[F.nullif(x, F.lit("")) for x in reversed(some)], F.lit(""))
-    every = F.array_distinct(F.filter(F.array(*general, text.solvent_name(text.row_text(columns))), lambda x: x != ""))
-    dry = F.coalesce(F.get(F.filter(every, lambda x: x != "water"), 0), F.lit(""))
-    wet = last(water)
-    only_water = (F.size(every) == 1) & (F.get(every, 0) == "water")
-    return (
+    filled = lambda some: F.filter(F.array(*some) if some else F.array().cast("array<string>"), lambda x: x != "")
+    last = lambda some: F.coalesce(F.get(filled(reversed(some) if some else []), 0), F.lit(""))
+    # the whole row is read only where its own columns leave the phase open, and once
+    every = lambda step: text.bound(F.array_distinct(filled([*general, text.solvent_name(text.row_text(columns))])), step)
+    dry = every(lambda e: F.coalesce(F.get(F.filter(e, lambda x: x != "water"), 0), F.lit("")))
+    only_water = every(lambda e: (F.size(e) == 1) & (F.get(e, 0) == "water"))
+    by_phase = lambda wet: (
         F.when(phase == "aqueous", F.when(wet != "", wet).otherwise("water"))
-        .when(phase == "organic", F.when(last(oil) != "", last(oil)).otherwise(dry))
+        .when(phase == "organic", text.bound(last(oil), lambda x: F.when(x != "", x).otherwise(dry)))
         .when(wet != "", wet)
         .when(only_water, "water")
         .otherwise("")
     )
+    return text.bound(last(water), by_phase)
 
 
 def parameters(required: Column, mw: Column, solution: Column, solute: Column, assumed: Column, unit: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import fixed
-from tessera.operators import judge, recovery
+from tessera.operators import judge, lookup, recovery
 from tessera.plans import scalars as q
 from tessera.plans.adapters import pick, sql_list, sql_pick
 
@@ -101,7 +101,7 @@ def n_md_score(spark, sf_dir):
 # ------------------------------------------------------------------ rows with named columns
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, slot, phase and columns under the names that laboratories give them."""
-    p, k = spark.read.parquet(f"{sf_dir}/part.parquet"), c("p_partkey")
+    p, k = lookup.dealt(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_brand")), c("p_partkey")
     slots = [n for n, _ in fixed.SLOTS]
     return p.select(
         k.alias("id"), pick(slots, k).alias("slot"), pick([f for _, f in fixed.SLOTS], k).alias("phase"),
