@@ -17,13 +17,18 @@ from tessera.operators.lookup import keep_first, top_k
 PATTERN = predicates.ascii_edges("(?i)" + fixed.TEXT_NUMBER + "(" + "|".join(fixed.TEXT_UNITS) + ")")
 #: Characters beside a number that are read for purchases; points that a name at hand is worth at most.
 BESIDE, AT_HAND = 40, 18
+#: Marks around a match and between its groups, of no meaning in any text.
+MARK, PART = "\ue000", "\ue001"
 
 
 def spans(content: Column, pattern: str, groups: int) -> Column:
     """array of struct(start, stop, g1, ...): where a pattern matches (from 0), and its groups, in order of place.
 
-    The text is cut at the matches; a running offset over the pieces gives the places."""
-    matches = F.arrays_zip(*[F.regexp_extract_all(content, F.lit(pattern), F.lit(i)).alias(f"g{i}") for i in range(groups + 1)])
+    One pass of the pattern sets marks around each match and its groups, and the text is cut at them; a text that holds such marks of its
+    own is searched for each group. A running offset over the pieces gives the places."""
+    plain = F.arrays_zip(*[F.regexp_extract_all(content, F.lit(pattern), F.lit(i)).alias(f"g{i}") for i in range(groups + 1)])
+    marked = F.regexp_replace(content, pattern, MARK + PART.join(f"${i}" for i in range(groups + 1)) + MARK)
+    told = lambda g: F.struct(*[F.get(g, i).alias(f"g{i}") for i in range(groups + 1)])
 
     def place(pieces: Column, found: Column) -> Column:
         sizes = F.zip_with(pieces, F.transform(found, lambda m: F.length(m["g0"])), lambda p, m: F.struct(F.length(p).alias("p"), F.coalesce(m, F.lit(0)).alias("m")))
@@ -33,7 +38,12 @@ def spans(content: Column, pattern: str, groups: int) -> Column:
         named = lambda m, s: F.struct(s.alias("start"), (s + F.length(m["g0"])).alias("stop"), *[m[f"g{i}"].alias(f"g{i}") for i in range(1, groups + 1)])
         return F.filter(F.zip_with(found, starts, lambda m, s: F.when(m.isNotNull(), named(m, s))), lambda x: x.isNotNull())
 
-    return text.bound(F.split(content, pattern), lambda pieces: text.bound(matches, lambda found: place(pieces, found)))
+    def cut(parts: Column) -> Column:
+        found = F.transform(F.filter(parts, lambda x, i: i % 2 == 1), lambda x: text.bound(F.split(x, PART), told))
+        return text.bound(found, lambda found: place(F.filter(parts, lambda x, i: i % 2 == 0), found))
+
+    searched = text.bound(F.split(content, pattern), lambda pieces: text.bound(plain, lambda found: place(pieces, found)))
+    return F.when(content.contains(MARK) | content.contains(PART), searched).otherwise(text.bound(F.split(marked, MARK), cut))
 
 
 def stated(rows: DataFrame, keys: list[str], content: str) -> DataFrame:
