@@ -190,7 +190,8 @@ def matches(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
         raise ValueError("at most three edits: the letters that a key lacks are packed into 63 bits")
     small_batches(left.sparkSession)
     a, b = (_keyed(x, most).toDF("key", side, f"{side}_gone") for x, side in ((left, "left"), (right, "right")))
-    met = a.join(b.withColumnRenamed("key", "right_key"), (F.col("key") == F.col("right_key")) & _apart(F.col("left_gone"), F.col("right_gone"), most)).select("left", "right")
+    # a name makes a hundred keys or more, which Spark's size of the names does not show: it would broadcast them as a small table
+    met = a.join(b.withColumnRenamed("key", "right_key").hint("merge"), (F.col("key") == F.col("right_key")) & _apart(F.col("left_gone"), F.col("right_gone"), most)).select("left", "right")
     texts = lambda x, side: x.select(F.col("node").alias(side), F.col("name").alias(f"{side}_name"))
     pairs = met.join(texts(right, "right").hint("merge"), "right").join(texts(left, "left").hint("merge"), "left")
     return _verified(pairs.select("left", "left_name", "right", "right_name"), most).dropDuplicates(["left", "right"])
